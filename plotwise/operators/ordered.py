@@ -109,18 +109,18 @@ def lag_values(
     )
     # Each chunk has at least one row, so the last ``deepest`` chunks hold enough rows.
     earlier = _window(keys, [_CHUNK]).rowsBetween(-deepest, -1)
-    handed = tails.select(*by, F.reverse(F.flatten(F.collect_list("_tail").over(earlier))).alias("_before"))
+    handed = tails.select(*by, F.reverse(F.flatten(F.collect_list("_tail").over(earlier))).alias("_handed"))
     w = _window(by, order)
     local = base.withColumn("_pos", F.row_number().over(w))
     local = local.withColumns({f"_l_{out}": F.lag(c, n).over(w) for out, (c, n) in cols.items()})
-    joined = _attach(local, handed, keys, ["_before"])
+    joined = _attach(local, handed, keys, ["_handed"])
     results = {
         out: F.when(F.col("_pos") > n, F.col(f"_l_{out}")).otherwise(
-            F.get(F.col("_before"), F.lit(n) - F.col("_pos"))[c]
+            F.get(F.col("_handed"), F.lit(n) - F.col("_pos"))[c]
         )
         for out, (c, n) in cols.items()
     }
-    return joined.withColumns(results).drop(_CHUNK, "_pos", "_before", *[f"_l_{o}" for o in cols])
+    return joined.withColumns(results).drop(_CHUNK, "_pos", "_handed", *[f"_l_{o}" for o in cols])
 
 
 def running_total(

@@ -30,8 +30,10 @@ def exact_quantiles(
     brackets = []
     for name, q in quantiles.items():
         low, high = max(q - slack, 0.0), min(q + slack, 1.0)
-        lo = F.col("_min") if low == 0.0 else F.col("_p")[probes.index(low)]
-        hi = F.col("_max") if high == 1.0 else F.col("_p")[probes.index(high)]
+        # In a small group the slack is less than a rank; there the bracket is the whole group.
+        small = F.col("_n") <= 2 * accuracy
+        lo = F.when(small | F.lit(low == 0.0), F.col("_min")).otherwise(F.col("_p")[probes.index(low)])
+        hi = F.when(small | F.lit(high == 1.0), F.col("_max")).otherwise(F.col("_p")[probes.index(high)])
         position = (F.col("_n") - 1) * F.lit(q)
         brackets.append(
             F.struct(

@@ -14,6 +14,7 @@ def local_session(cpus: int | str = 8, partitions: int = 8, memory: str = "8g",
         .appName("plotwise")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
