@@ -12,9 +12,10 @@ from plotwise.operators.ordered import top_with_ties
 from plotwise.operators.spatial import nearest, point_segments
 
 
-def most_complete(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
-    """Rows of each key with the most known values; ties stay."""
-    known = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in cols])
+def most_complete(df: DataFrame, keys: list[str], cols: list[str], weights: list[int] | None = None) -> DataFrame:
+    """Rows of each key with the most known (optionally weighted) values; ties stay."""
+    weight = dict(zip(cols, weights or [1] * len(cols)))
+    known = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") * weight[c] for c in cols])
     scored = df.withColumn("_known", known)
     return top_with_ties(scored, keys, [F.col("_known").desc()], 1, rank="_rank").drop("_known", "_rank")
 

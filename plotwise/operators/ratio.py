@@ -96,18 +96,20 @@ def kakwani_index(df: DataFrame, groups: list[str], estimate: str, price: str) -
     return totals.select(*groups, F.try_divide(gini("_re", "_se"), gini("_rs", "_ss")).alias("mki"))
 
 
-@F.pandas_udf("double")
-def _normal_share(mean: pd.Series, sd: pd.Series) -> pd.Series:
+def _normal_share(mean: Column, sd: Column) -> Column:
     """Share of a normal distribution inside the chasing bounds; one value per group."""
-    from statistics import NormalDist
+    low, high = CHASING_BOUNDS
+
+    @F.pandas_udf("double")
+    def share(means: pd.Series, sds: pd.Series) -> pd.Series:
+        from statistics import NormalDist
+
+        def one(m, s):
+            return NormalDist(m, s).cdf(high) - NormalDist(m, s).cdf(low) if s and s > 0 else None
 
-    def share(m, s):
-        if not s or np.isnan(s):
-            return None
-        dist = NormalDist(m, s)
-        return dist.cdf(CHASING_BOUNDS[1]) - dist.cdf(CHASING_BOUNDS[0])
+        return pd.Series([one(m, s) for m, s in zip(means, sds)], dtype="float64")
 
-    return pd.Series([share(m, s) for m, s in zip(mean, sd)], dtype="float64")
+    return share(mean, sd)
 
 
 def sales_chased(df: DataFrame, groups: list[str], ratio: str) -> DataFrame:

@@ -35,7 +35,8 @@ def freshness(
     """Age of the newest load and its status: pass, warn or error; an empty table is an error."""
     kept = df if where is None else df.where(where)
     newest = kept.agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at"))
-    hours = (F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp("max_loaded_at")) / 3600
+    moment = now if isinstance(now, Column) else F.lit(now)
+    hours = (F.unix_timestamp(moment.cast("timestamp")) - F.unix_timestamp("max_loaded_at")) / 3600
     status = (
         F.when(F.col("age_hours").isNull() | (F.col("age_hours") > error_hours), "error")
         .when(F.col("age_hours") > warn_hours, "warn")
