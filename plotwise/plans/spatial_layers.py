@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.functions import geometry as geo
+from plotwise.plans.warehouse import Warehouse, model
 
 
 def expand_open_years(places: DataFrame, years: DataFrame, opened: str, year: str = "year") -> DataFrame:
@@ -18,10 +19,11 @@ def expand_open_years(places: DataFrame, years: DataFrame, opened: str, year: st
     return places.withColumn("_years", listed).withColumn(year, F.explode(open_years)).drop("_years")
 
 
-def stadium(raw: DataFrame, parcels: DataFrame) -> DataFrame:
-    """Stadium points for each parcel year since the stadium opened."""
-    dated = raw.withColumn("_opened", F.col("date_opened").cast("string"))
-    open_in = expand_open_years(dated, parcels, "_opened").drop("_opened")
-    return open_in.withColumn("geometry", geo.wkb_point(F.col("lon"), F.col("lat"))).withColumn(
-        "geometry_3435", geo.wkb_point(F.col("x_3435"), F.col("y_3435"))
-    )
+@model("spatial.stadium")
+def stadium(w: Warehouse) -> DataFrame:
+    raw = w.src("spatial.stadium_raw").withColumnRenamed("year", "_opened").withColumn("_opened", F.col("_opened").cast("string"))
+    rows = expand_open_years(raw, w.src("spatial.parcel"), "_opened")
+    return rows.select(
+        "name", "year", geo.wkb_point(F.col("lon"), F.col("lat")).alias("geometry"),
+        geo.wkb_point(F.col("x_3435"), F.col("y_3435")).alias("geometry_3435"), F.current_timestamp().cast("string").alias("loaded_at"),
+    ).distinct()
