@@ -149,14 +149,16 @@ def aggregate_codes(t):
     )
 
 
-@query("m02_predictor_columns", "SELECT p_partkey AS meta_pin, p_size AS char_size, p_retailprice AS char_price, p_brand AS loc_brand FROM part")
+@query("m02_predictor_columns", """
+SELECT p_partkey AS meta_pin, p_size AS char_yrblt, p_retailprice AS other_tax_bill_rate, p_brand AS meta_nbhd_code FROM part""")
 def predictor_columns(t):
     from plotwise.plans.predictors import predictors
 
     named = t.part.selectExpr(
-        "p_partkey as meta_pin", "p_size as char_size", "p_retailprice as char_price", "p_brand as loc_brand", "p_name as other"
+        "p_partkey as meta_pin", "p_size as char_yrblt", "p_retailprice as other_tax_bill_rate", "p_brand as meta_nbhd_code",
+        "p_type as char_class", "p_name as unrelated",
     )
-    return named.select("meta_pin", *predictors(named.columns))
+    return named.select("meta_pin", *predictors(named.columns, exclude=("char_class",)))
 
 
 @query("m03_array_join", "SELECT o_orderkey, concat_ws(' | ', o_orderstatus, o_orderpriority) AS both_codes FROM orders")
