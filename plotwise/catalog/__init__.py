@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "derived", "basics", "join_queries", "group_queries", "window_queries", "scalar_queries", "check_queries", "space_queries",
-    "job_queries",
+    "job_queries", "standins", "model_queries",
 )
 
 

@@ -252,7 +252,7 @@ def environment(w: Warehouse) -> DataFrame:
         "pin10", F.col("year").alias("env_flood_fs_data_year"), F.col("fs_flood_factor").alias("env_flood_fs_factor"),
         F.col("fs_flood_risk_direction").alias("env_flood_fs_risk_direction"),
     )
-    keys = rows.select("pin10", "year").join(scores, "pin10").where(F.col("year") >= F.col("env_flood_fs_data_year"))
+    keys = rows.select("pin10", "year").distinct().join(scores, "pin10").where(F.col("year") >= F.col("env_flood_fs_data_year"))
     rows = rows.join(keys, ["pin10", "year"], "left")
     rows = attach(rows, noise.where("year != 'omp'"), ["pin10", "year"], {"airport_noise_dnl": "_before"})
     rows = attach(rows, noise.where("year = 'omp'"), ["pin10"], {"airport_noise_dnl": "_after"})
