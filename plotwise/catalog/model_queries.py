@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from plotwise.catalog.registry import QUERIES, query
-from plotwise.catalog.standins import cheap_distances, warehouse
+from plotwise.catalog.standins import cheap_distances, cheap_layers, warehouse
 from plotwise.plans.warehouse import load_models
 
-# Models that join all distance tables get derived ones; each distance table has a query of its own.
+# Tables that others only join are derived there; every location and distance table has a query of its own.
 WIDE_DISTANCE = {
     "proximity.vw_pin10_proximity", "proximity.vw_pin10_proximity_fill", "proximity.crosswalk_year_fill", "open_data.vw_parcel_proximity",
     "model.vw_pin_shared_input", "model.vw_card_res_input", "model.vw_pin_condo_input",
@@ -25,6 +25,7 @@ def register() -> None:
 
         def build(t, model=model):
             stand_ins = cheap_distances(t) if model in WIDE_DISTANCE else {}
+            stand_ins |= {n: df for n, df in cheap_layers(t).items() if n != model}
             return warehouse(t, **stand_ins).ref(model)
 
         query(name, MODEL_SQL.get(model))(build)

@@ -14,7 +14,7 @@ from plotwise.operators.joins import asof_years, clamp_year_join, neighbour_fill
 from plotwise.operators.ordered import lag_known, streak
 from plotwise.plans.census import COUNTS, SHARES
 from plotwise.plans.locations import X, Y
-from plotwise.plans.parcels import parcel_base
+from plotwise.plans.parcels import corner_lot_flags, parcel_base
 from plotwise.plans.predictors import PREDICTORS
 from plotwise.plans.warehouse import Warehouse, attach, model
 from plotwise.sources.writers import incremental_new
@@ -167,7 +167,7 @@ def vw_pin_shared_input(w: Warehouse) -> DataFrame:
         rated = ratings.where(F.col("district_type") == kind)
         rows = attach(rows, rated, {f"_raw_{kind}": "district_geoid"}, {"_rating": f"other_school_district_{kind}_avg_rating"})
     rows = attach(rows, exemption_streaks(w), pin, ["assr_is_active_exe_homeowner", "assr_n_years_exe_homeowner"])
-    rows = attach(rows, w.ref("default.vw_pin_status"), pin, {"is_corner_lot": "_corner"})
+    rows = attach(rows, corner_lot_flags(w), pin, {"is_corner_lot": "_corner"})
     corner = F.when(F.col("meta_year") >= "2014", known_true(F.col("_corner")))
     return rows.withColumn("assr_is_corner_lot", corner).drop("_corner", "_raw_elementary", "_raw_secondary")
 

@@ -299,16 +299,23 @@ def assessable_permits(w: Warehouse) -> DataFrame:
     return out.select("pin", "year", F.coalesce("_n", F.lit(0)).alias("num_assessable_permits"))
 
 
-@model("default.vw_pin_status")
-def vw_pin_status(w: Warehouse) -> DataFrame:
+def corner_lot_flags(w: Warehouse) -> DataFrame:
+    """Corner-lot flag of each active parcel-year; unknown before the first year of the corner table."""
     par = w.active("pardat").select(
-        F.col("parid").alias("pin"), F.col("taxyr").alias("year"), "class", F.col("note2").alias("pardat_note"),
-        F.substring("parid", 1, 10).alias("pin10"),
+        F.col("parid").alias("pin"), F.col("taxyr").alias("year"), F.substring("parid", 1, 10).alias("pin10")
     )
     corner = w.src("spatial.corner").select("pin10", "year", F.col("is_corner_lot").alias("_corner"))
-    out = clamp_year_join(par, corner, ["pin10"], "year")
     first_year = w.src("spatial.corner").agg(F.min("year")).scalar()
-    out = out.withColumn("is_corner_lot", F.when(F.col("year") >= first_year, known_true(F.col("_corner"))))
+    out = clamp_year_join(par, corner, ["pin10"], "year")
+    return out.select("pin", "year", F.when(F.col("year") >= first_year, known_true(F.col("_corner"))).alias("is_corner_lot"))
+
+
+@model("default.vw_pin_status")
+def vw_pin_status(w: Warehouse) -> DataFrame:
+    par = w.active("pardat").select(
+        F.col("parid").alias("pin"), F.col("taxyr").alias("year"), "class", F.col("note2").alias("pardat_note")
+    )
+    out = attach(par, corner_lot_flags(w), ["pin", "year"], ["is_corner_lot"])
     out = attach(out, affordable_and_mixed(w), PIN_YEAR, ["is_ahsap", "is_mixed_use"])
     exempt = w.ref("default.vw_pin_exempt").select("pin", "year", F.lit(True).alias("_exempt"))
     out = attach(out, exempt, ["pin", "year"], ["_exempt"])
@@ -331,4 +338,4 @@ def vw_pin_status(w: Warehouse) -> DataFrame:
             "is_filler_pin": F.col("pin").like("%999%"),
             "has_recent_assessable_permit": F.col("_permits") > 0,
         }
-    ).drop("_corner", "_exempt", "_bill", "_permits", "pin10", "source_year")
+    ).drop("_exempt", "_bill", "_permits")

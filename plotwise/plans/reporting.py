@@ -14,9 +14,9 @@ from plotwise.operators.joins import clamp_year_join, full_coalesced, lag_join,
 from plotwise.operators.ordered import lag_values, top_with_ties
 from plotwise.operators.spatial import points_in_polygons
 from plotwise.plans.locations import X, Y, with_rings
-from plotwise.plans.parcels import parcel_base
+from plotwise.plans.parcels import affordable_and_mixed, parcel_base
 from plotwise.plans.values import assessments
-from plotwise.plans.warehouse import Warehouse, attach, model
+from plotwise.plans.warehouse import PIN_YEAR, Warehouse, attach, model
 
 # The year of a three-year cycle, counted modulo 3, in which each area is reassessed.
 REASSESSED = {"North": 0, "South": 1, "City": 2}
@@ -47,7 +47,7 @@ def vw_pin_township_class(w: Warehouse) -> DataFrame:
     ).where("class != '999'")
     groups = {"reporting_class_code": "major_class", "modeling_group": "property_group"}
     rows = attach(par, w.src("class_dict"), {"class": "class_code"}, groups, "inner")
-    rows = attach(rows, w.ref("default.vw_pin_status"), ["pin", "year"], ["is_ahsap"])
+    rows = attach(rows, affordable_and_mixed(w), PIN_YEAR, ["is_ahsap"])
     rows = attach(rows, w.src("spatial.township"), ["township_code"], ["triad_name", "triad_code", "township_name"])
     rows = at_latest_location(w, rows, ["combined_municipality_name"])
     cycle = F.lit(False)

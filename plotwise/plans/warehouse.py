@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from plotwise.functions.logic import today_column
 from plotwise.operators.filters import active
+from plotwise.session import settle
 
 MODELS: dict[str, Callable[["Warehouse"], DataFrame]] = {}
 MODULES = (
@@ -53,13 +54,15 @@ class Warehouse:
     """Sources by name (a DataFrame, or a function that gives one) and lazily built models.
 
     Tables of the assessment system go by their bare name ("pardat"), others as "schema.table", and code lists
-    by their name ("class_dict"). ``today`` fixes the date for repeatable runs.
+    by their name ("class_dict"). ``today`` fixes the date for repeatable runs. With ``store_tables`` each model
+    that is a table is written to the checkpoint folder when first used, so that later models start from it.
     """
 
     spark: SparkSession
     sources: Mapping[str, DataFrame | Callable[[], DataFrame]]
     today: str | None = None
     settings: Settings = field(default_factory=Settings)
+    store_tables: bool = False
     built: dict[str, DataFrame] = field(default_factory=dict)
 
     def src(self, name: str) -> DataFrame:
@@ -76,7 +79,10 @@ class Warehouse:
                 self.built[name] = self.src(name)
             else:
                 load_models()
-                self.built[name] = MODELS[name](self)
+                frame = MODELS[name](self)
+                # Views are named "vw_…"; everything else is a table that is worth writing once.
+                table = not name.split(".", 1)[1].startswith("vw_")
+                self.built[name] = settle(frame) if self.store_tables and table else frame
         return self.built[name]
 
     def date(self) -> Column:
