@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from plotwise.operators.ordered import lag_values
 from plotwise.operators.quantiles import exact_quantiles, trim_between
+from plotwise.session import settle
 
 # Accepted ranges of the published ratio-study standard.
 MET_RANGES = {
@@ -251,9 +252,10 @@ def ratio_statistics(
 ) -> DataFrame:
     """The full table: point values, limits, met flags, chasing and equity flags, counts."""
     ratio = "_ratio"
-    rows = df.withColumn(ratio, F.col(estimate) / F.col(price)).where(F.col(ratio) > 0)
+    # Both are read by several statistics, so each is computed and written once.
+    rows = settle(df.select(*groups, estimate, price, (F.col(estimate) / F.col(price)).alias(ratio)).where(F.col(ratio) > 0))
     whole = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("sale_n"), *within_counts(ratio))
-    trimmed = trim_between(rows, groups, ratio, *trim).select(*groups, estimate, price, ratio)
+    trimmed = settle(trim_between(rows, groups, ratio, *trim))
     points = point_statistics(trimmed, groups, estimate, price, ratio)
     index = kakwani_index(trimmed, groups, estimate, price)
     limits = bootstrap_limits(trimmed, points, groups, estimate, price, ratio, nboot, seed)

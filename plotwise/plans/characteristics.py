@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from plotwise.functions.logic import known_true
 from plotwise.functions.text import alnum_only
 from plotwise.operators.grouped import first_in_group, with_group_values
-from plotwise.operators.ordered import fill_backward, recent_change
+from plotwise.operators.ordered import fill_backward, lag_values, recent_change
+from plotwise.plans.values import stage_values
 from plotwise.plans.warehouse import PAR_KEYS, PIN_YEAR, Warehouse, attach, model
 
 # Dwelling columns and the characteristics they hold.
@@ -136,7 +137,8 @@ def vw_pin_condo_char(w: Warehouse) -> DataFrame:
         [F.count(F.lit(1)).alias("char_building_pins"), F.sum(F.col("is_parking_space").cast("long")).alias("char_building_non_units")],
     )
     units = attach(units, w.ref("default.vw_pin_land"), ["pin", "year"], {"num_landlines": "pin_num_landlines", "sf": "char_land_sf"})
-    units = attach(units, w.ref("default.vw_pin_history"), ["pin", "year"], ["oneyr_pri_board_tot"])
+    board = lag_values(stage_values(w).select("pin", "year", "board_tot"), ["pin"], ["year"], {"_before": ("board_tot", 1)})
+    units = attach(units, board, ["pin", "year"], {"_before": "oneyr_pri_board_tot"})
     return units.withColumns(
         {
             "is_common_area": known_true(F.col("oneyr_pri_board_tot") < 10),

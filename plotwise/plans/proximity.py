@@ -164,8 +164,9 @@ def cnt_pin_num_bus_stop(w: Warehouse) -> DataFrame:
 def cnt_pin_num_foreclosure(w: Warehouse) -> DataFrame:
     """Foreclosures of the year and the five before it within half a mile, per 1,000 parcels there."""
     sales = centre_points(w.src("sale.foreclosure"))
-    reach = F.explode(F.sequence(F.year("foreclosure_recording_date"), F.year("foreclosure_recording_date") + 5))
-    events = sales.select(F.col("x").alias(X), F.col("y").alias(Y), reach.cast("string").alias("year"))
+    first = F.year("foreclosure_recording_date")
+    reach = F.transform(F.sequence(first, first + 5), lambda y: y.cast("string"))
+    events = sales.select(F.col("x").alias(X), F.col("y").alias(Y), F.explode(reach).alias("year"))
     parcels = parcel_rows(w)
     one = {"_f": F.lit(1).cast("long")}
     counted = count_within_radius(parcels, events, HALF_MILE_FT, one, ["year"], X, Y)

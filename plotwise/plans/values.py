@@ -49,8 +49,8 @@ def stage_of(w: Warehouse) -> Column:
     )
 
 
-@model("default.vw_pin_value")
-def vw_pin_value(w: Warehouse) -> DataFrame:
+def stage_values(w: Warehouse) -> DataFrame:
+    """Values of all stages side by side, with the latest stage, for active parcels."""
     staged = assessments(w).join(named_stages(w), ["parid", "taxyr"], "left").withColumn("_stage", stage_of(w))
     this_year = F.date_format(w.date(), "yyyy")
     open_now = (F.col("_stage") != "pre_mailed") | (F.col("taxyr") == this_year)
@@ -75,7 +75,12 @@ def vw_pin_value(w: Warehouse) -> DataFrame:
         name = F.when(latest == stage, label).otherwise(name)
         number = F.when(latest == stage, order).otherwise(number)
     values = values.withColumns({"stage_name": name, "stage_num": number})
-    values = attach(values, w.active("pardat").select("parid", "taxyr").distinct(), PIN_YEAR, [], "inner")
+    return attach(values, w.active("pardat").select("parid", "taxyr").distinct(), PIN_YEAR, [], "inner")
+
+
+@model("default.vw_pin_value")
+def vw_pin_value(w: Warehouse) -> DataFrame:
+    values = stage_values(w)
     labels = F.create_map(*[F.lit(x) for s, (n, _) in STAGES.items() for x in (s, n)])
     reasons = w.src("aprval").where("reascd IS NOT NULL").join(named_stages(w), ["parid", "taxyr"], "left")
     reasons = reasons.select(
