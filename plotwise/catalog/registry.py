@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plotwise.session import ensure_checkpoint_dir
 from plotwise.sources.readers import table
+from plotwise.sources.writers import existing_or_none
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -20,6 +24,10 @@ SQL: dict[str, str] = {}
 DERIVED: dict[str, str] = {}
 
 
+# Folders of derived tables that were written before, by application, input folder and name.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 class Tables:
     """Lazy access to the given tables and to tables derived from them."""
 
@@ -29,10 +37,28 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return table(self.spark, self.root, name)
+        if name.startswith("w_") and name in DERIVED:
+            return self._stored(name)
         if name in DERIVED:
             return self.sql(DERIVED[name])
         raise AttributeError(name)
 
+    def _stored(self, name: str) -> DataFrame:
+        """A derived assessment table, written once per session to the folder that all executors share.
+
+        Models read these tables many times; stored, they are scans with known sizes and pruned columns.
+        """
+        key = (self.spark.sparkContext.applicationId, self.root, name)
+        if key in _WRITTEN:
+            found = existing_or_none(self.spark, _WRITTEN[key])
+            if found is not None:
+                return found
+        ensure_checkpoint_dir(self.spark)
+        path = f"{self.spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+        self.sql(DERIVED[name]).write.parquet(path)
+        _WRITTEN[key] = path
+        return self.spark.read.parquet(path)
+
     def sql(self, text: str) -> DataFrame:
         """Run SQL over the given and derived tables, passed as arguments rather than as global views."""
         frames = {n: getattr(self, n) for n in [*TABLES, *DERIVED] if _mentions(text, n)}
@@ -50,8 +76,6 @@ def _replace(text: str, name: str) -> str:
 
 
 def _pattern(name: str):
-    import re
-
     return re.compile(rf"((?:FROM|JOIN)\s+){name}\b")
 
 
