@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from plotwise.catalog.registry import QUERIES, query
 from plotwise.catalog.standins import cheap_distances, cheap_layers, warehouse
+from plotwise.plans.model_inputs import DISTANCE_COLUMNS, NEIGHBOUR_COLUMNS
 from plotwise.plans.warehouse import load_models
+from plotwise.session import settle
 
 # Tables that others only join are derived there; every location and distance table has a query of its own.
 WIDE_DISTANCE = {
@@ -13,6 +17,21 @@ WIDE_DISTANCE = {
 }
 
 
+_CHAINS = ("default.vw_pin_history", "default.vw_pin_address", "default.vw_pin_land", "census.vw_acs5_stat")
+MODEL_INPUTS = {
+    "model.vw_pin_shared_input": _CHAINS,
+    "model.vw_card_res_input": (*_CHAINS, "default.vw_card_res_char", "model.vw_pin_shared_input"),
+    "model.vw_pin_condo_input": (*_CHAINS, "default.vw_pin_condo_char", "model.vw_pin_shared_input"),
+}
+
+
+def near_columns(t):
+    """All distance columns of the model inputs as one derived table."""
+    near = {c: F.col("y_3435") for c in DISTANCE_COLUMNS}
+    near |= {c: F.col("pin10") if c.endswith("pin10") else F.col("x_3435") for c in NEIGHBOUR_COLUMNS}
+    return t.w_spot.select("pin10", "year", *[c.alias(n) for n, c in near.items()])
+
+
 def name_of(model: str) -> str:
     return "model_" + model.replace(".", "_").replace("default_", "").replace("vw_pin_sale", "sale" if model == "default.vw_pin_sale" else "vw_pin_sale")
 
@@ -26,7 +45,13 @@ def register() -> None:
         def build(t, model=model):
             stand_ins = cheap_distances(t) if model in WIDE_DISTANCE else {}
             stand_ins |= {n: df for n, df in cheap_layers(t).items() if n != model}
-            return warehouse(t, **stand_ins).ref(model)
+            if model in MODEL_INPUTS:
+                stand_ins["proximity.vw_pin10_proximity_fill"] = near_columns(t)
+            w = warehouse(t, **stand_ins)
+            for part in MODEL_INPUTS.get(model, ()):
+                # Long chains are written once, so that the wide join starts from stored rows.
+                w.built[part] = settle(w.ref(part))
+            return w.ref(model)
 
         query(name, MODEL_SQL.get(model))(build)
 
