@@ -31,3 +31,10 @@ def token_files(spark: SparkSession, root: str) -> DataFrame:
 
     path = write_tokens(table(spark, root, "documents"), BYTE_BPE, end_id=2)
     return read_digests(spark, path)
+
+
+@query("op8_best_fit_packing")
+def best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.packing import pack
+
+    return pack(table(spark, root, "documents"), BYTE_BPE, end_id=0)
