@@ -38,3 +38,10 @@ def best_fit_packing(spark: SparkSession, root: str) -> DataFrame:
     from plotwise.llm.packing import pack
 
     return pack(table(spark, root, "documents"), BYTE_BPE, end_id=0)
+
+
+@query("op4_multiset_fingerprints")
+def multiset_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.fingerprints import edited_and_next
+
+    return edited_and_next(table(spark, root, "documents"))
