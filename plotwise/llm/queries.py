@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plotwise.sources.readers import table
 
@@ -45,3 +46,11 @@ def multiset_fingerprints(spark: SparkSession, root: str) -> DataFrame:
     from plotwise.llm.fingerprints import edited_and_next
 
     return edited_and_next(table(spark, root, "documents"))
+
+
+@query("op7_simhash_components")
+def simhash_components(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.simhash import near_duplicates
+
+    rows = near_duplicates(table(spark, root, "documents"), bits=4, words=4)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
