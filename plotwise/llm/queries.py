@@ -54,3 +54,23 @@ def simhash_components(spark: SparkSession, root: str) -> DataFrame:
 
     rows = near_duplicates(table(spark, root, "documents"), bits=4, words=4)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+_CAPITALS, _SMALL_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS_SQL = f"regexp_extract_all(translate(text, '{_CAPITALS}', '{_SMALL_LETTERS}'), '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+@query("op2_benchmark_leaks", f"""
+WITH items AS (SELECT item_id, w, least(5, len(w)) AS s FROM (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark) WHERE len(w) > 0),
+item_runs AS (SELECT DISTINCT item_id, s, array_to_string(w[i : i + s - 1], ' ') AS run FROM (SELECT item_id, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM items)),
+sizes AS (SELECT item_id, COUNT(*) AS shingles FROM item_runs GROUP BY item_id),
+docs AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+doc_runs AS (SELECT DISTINCT doc_id, s, array_to_string(w[i : i + s - 1], ' ') AS run
+ FROM (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM docs CROSS JOIN (SELECT DISTINCT s FROM items))),
+met AS (SELECT doc_id, item_id, COUNT(*) AS shared FROM doc_runs JOIN item_runs USING (s, run) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, shared, shingles, shared / CAST(shingles AS DOUBLE) AS containment FROM met JOIN sizes USING (item_id) WHERE shared * 5 >= shingles * 4
+""")
+def benchmark_leaks(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.decontaminate import leaks
+
+    return leaks(table(spark, root, "documents"), table(spark, root, "benchmark"))
