@@ -74,3 +74,13 @@ def benchmark_leaks(spark: SparkSession, root: str) -> DataFrame:
     from plotwise.llm.decontaminate import leaks
 
     return leaks(table(spark, root, "documents"), table(spark, root, "benchmark"))
+
+
+@query("op9_toxic_neighbours")
+def toxic_neighbours(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.common import held_out
+    from plotwise.llm.toxicity import fit, score
+
+    docs, labels = table(spark, root, "documents"), table(spark, root, "labels")
+    model = fit(docs, labels.where(~held_out()))
+    return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence", "cosines")
