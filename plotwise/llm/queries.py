@@ -84,3 +84,16 @@ def toxic_neighbours(spark: SparkSession, root: str) -> DataFrame:
     docs, labels = table(spark, root, "documents"), table(spark, root, "labels")
     model = fit(docs, labels.where(~held_out()))
     return score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted", "evidence", "cosines")
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op3_language")
+def language(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.common import held_out
+    from plotwise.llm.language import fit, identify
+
+    docs = table(spark, root, "documents")
+    model = fit(docs.where(~held_out()), PIECES)
+    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
