@@ -97,3 +97,11 @@ def language(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     model = fit(docs.where(~held_out()), PIECES)
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_personal_data")
+def personal_data(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.pii import find
+
+    rows = find(table(spark, root, "documents"))
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
