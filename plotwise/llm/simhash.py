@@ -62,15 +62,19 @@ def simhash(h: np.ndarray) -> int:
     return int(np.packbits((2 * ones > len(h)).astype(np.uint8), bitorder="little").view("<u8")[0])
 
 
+def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+
+
 def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a signed long) of every whole text; null counts as a text without words."""
+    """doc_id, text_hash and fingerprint (the 64 bits as a signed long) of every whole text; null counts as a text without words."""
     def run(batches):
         for batch in chunks(batches, "text"):
-            prints = [simhash(hashes((t or "").encode(), words)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(prints, np.uint64).view(np.int64))], ["doc_id", "fingerprint"])
+            prints = [simhash(hashes(t.encode(), words)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(np.array(prints, np.uint64).view(np.int64))], ["doc_id", "text_hash", "fingerprint"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fingerprint long")
+    return _picked(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_hash long, fingerprint long")
 
 
 # ---- partitions and thresholds ------------------------------------------------------------------------------------
@@ -193,8 +197,8 @@ def spanning_links(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(heads), np.concatenate(tails)) if heads else (none, none)
 
 
-def bucket_links(keys: np.ndarray, x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the buckets of sorted keys, as positions."""
+def bucket_links(keys: np.ndarray, x: np.ndarray, bits: int, closer: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the buckets of sorted keys, as positions; large buckets also get links that span what is linked at each of the ``closer`` bits."""
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -209,13 +213,14 @@ def bucket_links(keys: np.ndarray, x: np.ndarray, bits: int) -> tuple[np.ndarray
         heads.append(a)
         tails.append(a + step)
     for at, n in zip(first[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
-        a, b = spanning_links(x[at : at + n], bits)
-        heads.append(at + a)
-        tails.append(at + b)
+        for most in (*closer, bits):
+            a, b = spanning_links(x[at : at + n], most)
+            heads.append(at + a)
+            tails.append(at + b)
     return np.concatenate(heads), np.concatenate(tails)
 
 
-def linked(prints: DataFrame, bits: int) -> DataFrame:
+def linked(prints: DataFrame, bits: int, closer: tuple[int, ...] = ()) -> DataFrame:
     """Links (x, y) between distinct fingerprints within ``bits`` differing bits; together they connect all that are linked."""
     choice = plan(prints, bits)
 
@@ -243,7 +248,7 @@ def linked(prints: DataFrame, bits: int) -> DataFrame:
             yield from out(keys, x)
 
     def out(keys, x):
-        a, b = bucket_links(keys, x, bits)
+        a, b = bucket_links(keys, x, bits, closer)
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x[a].view(np.int64), x[b].view(np.int64))), pa.array(np.maximum(x[a].view(np.int64), x[b].view(np.int64)))], ["x", "y"])
 
@@ -272,3 +277,58 @@ def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, id_col: str
     smallest = least.groupBy("label").agg(F.min("first_id").alias("component_id"))
     named = least.join(smallest, "label").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+# ---- one document of each group ----------------------------------------------------------------------------------
+
+def _similar(links: DataFrame, docs: DataFrame, first: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The links between fingerprints whose first documents' sets of shingles have a Jaccard similarity of ``similarity`` or more."""
+    def sets(batches):
+        for batch in chunks(batches, "text"):
+            found = [np.unique(hashes(t.encode(), words)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("fingerprint"), pa.array(found, pa.binary())], ["fingerprint", "shingles"])
+
+    def compare(batches):
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist()):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                union = len(x) + len(y) - shared
+                keep.append(shared >= similarity * union - 1e-9)  # texts without words are all alike
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    ends = links.select(F.col("x").alias("fingerprint")).union(links.select("y")).distinct()
+    wanted = first.join(ends, "fingerprint").select("doc_id", "text_hash", "fingerprint")
+    texts = docs.join(wanted, ["doc_id", "text_hash"]).select("fingerprint", "text")
+    held = stored(texts.mapInArrow(sets, "fingerprint long, shingles binary").dropDuplicates(["fingerprint"]), "simhash-shingles")
+    one = held.select(F.col("fingerprint").alias("x"), F.col("shingles").alias("one"))
+    other = held.select(F.col("fingerprint").alias("y"), F.col("shingles").alias("other"))
+    return links.join(one, "x").join(other, "y").select("x", "y", "one", "other").mapInArrow(compare, "x long, y long")
+
+
+def one_of_each(docs: DataFrame, bits: int = 10, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, without near copies: of each group the one with the smallest doc_id stays.
+
+    Candidates differ in ``bits`` or fewer bits of the fingerprint over ``words`` words; they are linked if their sets
+    of shingles have a Jaccard similarity of ``similarity`` or more. Equal fingerprints are one text here. Texts without
+    words are one group. Of repeated rows with the same id and text one stays; a null id loses to any other. An empty
+    table stays empty. Other columns may have any names.
+    """
+    prints = stored(fingerprints(docs, words, id_col, text_col), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    first = stored(first.select("fingerprint", "first.*"), "simhash-distinct")
+    ids = F.coalesce("doc_id", F.lit(-1)).alias("doc_id")
+    links = stored(linked(first, bits, closer=(bits * 2 // 5, bits * 7 // 10)), "simhash-links")
+    texts = _picked(docs, id_col, text_col)
+    same = _similar(links, texts.select(ids, "text_hash", "text"), first.select(ids, "text_hash", "fingerprint"), words, similarity)
+    labels = components(same, "x", "y").select(F.col("id").alias("fingerprint"), F.col("component").alias("label"))
+    grouped = first.join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
+    kept = stored(grouped.groupBy("label").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.text_hash"), "simhash-kept")
+    own_hash = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    chosen = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["doc_id"]) & (own_hash == kept["text_hash"]), "left_semi")
+    repeated = prints.join(kept, prints["doc_id"].eqNullSafe(kept["doc_id"]) & (prints["text_hash"] == kept["text_hash"]), "left_semi")
+    if not repeated.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        chosen = chosen.dropDuplicates([id_col, text_col])
+    return chosen
