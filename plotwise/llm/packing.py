@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plotwise.llm.common import chunks, stored
-from plotwise.llm.tokens import encoder
+from plotwise.llm.tokens import ENCODE_BYTES, encoder
 
 #: Pieces packed together in one task.
 SHARD = 16_384
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, limit: int, id_col: st
     """doc_id, row, piece, start, length and ids_crc32 of each piece of at most ``limit`` ids; the first piece takes the remainder."""
     def run(batches):
         own, row = encoder(vocabulary), TaskContext.get().partitionId() << 33
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", ENCODE_BYTES):
             ids, bounds = own.encode(batch.column("text"))
             ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
             bounds = bounds + np.arange(len(bounds))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plotwise.llm.common import chunks, ragged, shared_path, stored
-from plotwise.llm.tokens import encoder
+from plotwise.llm.tokens import ENCODE_BYTES, encoder
 
 #: Ids of a block and of a document's longest piece; ids between two checkpoints; bits of the longest code.
 BLOCK = 1 << 16
@@ -145,7 +145,7 @@ def tokenize(docs: DataFrame, vocabulary: str, end_id: int, id_col: str = "doc_i
     """doc_id, row (unique), n_tokens and ids (little-endian unsigned 32-bit) of every text, with the end id."""
     def run(batches):
         own, row = encoder(vocabulary), TaskContext.get().partitionId() << 33
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", ENCODE_BYTES):
             ids, bounds = own.encode(batch.column("text"))
             ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
             bounds = bounds + np.arange(len(bounds))

@@ -22,6 +22,9 @@ _ALNUM = byte_table(lambda b: chr(b).isascii() and chr(b).isalnum())
 _MARK = byte_table(lambda b: 32 < b < 127 and not chr(b).isalnum())
 _LATIN_TAIL = byte_table(lambda b: 0x80 <= b <= 0xBF and b not in (0x97, 0xB7))
 
+#: Text bytes encoded at once; with ``max_units`` it bounds a Python worker's memory to about 300 MB.
+ENCODE_BYTES = 3 << 20
+
 #: A unit that is one run of letters, with or without a space before it.
 _LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
@@ -43,7 +46,7 @@ class BatchEncoder:
     kept for later batches, then the store starts anew. Special tokens' strings in a text are ordinary text.
     """
 
-    def __init__(self, path: str, max_units: int = 400_000):
+    def __init__(self, path: str, max_units: int = 250_000):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words = Tokenizer(self.tokenizer.model)
