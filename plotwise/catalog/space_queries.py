@@ -10,13 +10,13 @@ from plotwise.functions import geometry as geo
 from plotwise.operators import filling, network, ratio, shapes, spatial
 
 # Parcels as right-angled quadrilaterals around their point; widths depend on the key.
-HALF = F.col("pin") % 7 + 3
 
 
 def parcels(t):
     x, y = F.col("x"), F.col("y")
     skew = F.col("pin") % 3
-    ring = geo.polygon((x - HALF, y - HALF), (x + HALF, y - HALF), (x + HALF + skew, y + HALF), (x - HALF, y + HALF))
+    half = F.col("pin") % 7 + 3
+    ring = geo.polygon((x - half, y - half), (x + half, y - half), (x + half + skew, y + half), (x - half, y + half))
     return t.parcel_point.withColumn("rings", ring)
 
 
@@ -228,22 +228,21 @@ def touching_mean(t):
     return out.select("road_id", F.round("speed", 6).alias("speed"))
 
 
+def order_links(t):
+    """Every order tied to its customer."""
+    return t.orders.select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("src"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("dst")
+    )
+
+
 @query("e21_components", """
-WITH RECURSIVE e AS (SELECT 'o' || (o_orderkey % 400) AS a, 'c' || (o_custkey % 400) AS b FROM orders WHERE o_totalprice > 480000),
-u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-w(node, seen) AS (SELECT DISTINCT a, a FROM u UNION SELECT w.node, u.b FROM w JOIN u ON w.seen = u.a)
-SELECT node, MIN(seen) AS component FROM w GROUP BY node""")
+SELECT DISTINCT 'c' || o_custkey AS node, 'c' || o_custkey AS component FROM orders UNION ALL SELECT DISTINCT 'o' || o_orderkey, 'c' || o_custkey FROM orders""")
 def components(t):
-    edges = t.orders.where("o_totalprice > 480000").select(
-        F.concat(F.lit("o"), (F.col("o_orderkey") % 400).cast("string")).alias("src"),
-        F.concat(F.lit("c"), (F.col("o_custkey") % 400).cast("string")).alias("dst"),
-    )
-    return network.connected_components(edges)
+    return network.connected_components(order_links(t))
 
 
-@query("e21_drop_small_components")
+@query("e21_drop_small_components", """
+SELECT 'c' || o_custkey AS component, 'o' || o_orderkey AS src, 'c' || o_custkey AS dst, edge_count
+FROM (SELECT o_orderkey, o_custkey, COUNT(*) OVER (PARTITION BY o_custkey) AS edge_count FROM orders) WHERE edge_count > 2""")
 def drop_small_components(t):
-    edges = t.orders.where("o_totalprice > 490000").select(
-        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("src"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("dst")
-    )
-    return network.drop_small_components(edges, 2)
+    return network.drop_small_components(order_links(t), 2)

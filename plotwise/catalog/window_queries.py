@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from plotwise.catalog.registry import query
 from plotwise.operators import grouped, ordered, reshape
 
-# Events of one user are spread over days, orders of one customer over years.
-DAY = F.to_date("ts")
-YEAR = F.year("o_orderdate")
+
+
+# Events of one user are spread over days.
+def day():
+    return F.to_date("ts")
+
 
 
 @query("w01_dedup", """
@@ -57,7 +60,7 @@ LAGS = {"back_1": ("value", 1), "back_2": ("value", 2), "back_3": ("value", 3)}
 SELECT event_id, LAG(value, 1) OVER w AS back_1, LAG(value, 2) OVER w AS back_2, LAG(value, 3) OVER w AS back_3
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def lag(t):
-    out = ordered.lag_values(t.events, ["user_id"], ["ts", "event_id"], LAGS, DAY)
+    out = ordered.lag_values(t.events, ["user_id"], ["ts", "event_id"], LAGS, day())
     return out.select("event_id", *LAGS)
 
 
@@ -66,7 +69,7 @@ SELECT event_id, LAG(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, eve
 (SELECT *, CASE WHEN event_type = 'purchase' THEN value END AS v FROM events)""")
 def lag_ignore_nulls(t):
     rows = t.events.withColumn("v", F.when(F.col("event_type") == "purchase", F.col("value")))
-    return ordered.lag_known(rows, ["user_id"], ["ts", "event_id"], {"v": "before"}, DAY).select("event_id", "before")
+    return ordered.lag_known(rows, ["user_id"], ["ts", "event_id"], {"v": "before"}, day()).select("event_id", "before")
 
 
 @query("w08_fill_forward", """
@@ -74,7 +77,7 @@ SELECT event_id, LAST_VALUE(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY
 (SELECT *, CASE WHEN event_type = 'signup' THEN value END AS v FROM events)""")
 def fill_forward(t):
     rows = t.events.withColumn("v", F.when(F.col("event_type") == "signup", F.col("value")))
-    return ordered.fill_forward(rows, ["user_id"], ["ts", "event_id"], {"v": "filled"}, DAY).select("event_id", "filled")
+    return ordered.fill_forward(rows, ["user_id"], ["ts", "event_id"], {"v": "filled"}, day()).select("event_id", "filled")
 
 
 @query("w09_fill_backward", """
@@ -82,7 +85,7 @@ SELECT event_id, LAST_VALUE(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY
 (SELECT *, CASE WHEN event_type = 'error' THEN value END AS v FROM events)""")
 def fill_backward(t):
     rows = t.events.withColumn("v", F.when(F.col("event_type") == "error", F.col("value")))
-    return ordered.fill_backward(rows, ["user_id"], ["ts", "event_id"], {"v": "filled"}, DAY).select("event_id", "filled")
+    return ordered.fill_backward(rows, ["user_id"], ["ts", "event_id"], {"v": "filled"}, day()).select("event_id", "filled")
 
 
 @query("w10_first_value", """
@@ -137,7 +140,7 @@ SELECT id, CAST(SUM(a) OVER (PARTITION BY k, grp ORDER BY {order}) AS BIGINT) AS
 
 @query("w15_streak_events", STREAK.format(id="event_id", key="user_id", order="ts, event_id", flag="value > 10", t="events"))
 def streak_events(t):
-    out = ordered.streak(t.events, ["user_id"], ["ts", "event_id"], F.col("value") > 10, "run", DAY)
+    out = ordered.streak(t.events, ["user_id"], ["ts", "event_id"], F.col("value") > 10, "run", day())
     return out.select(F.col("event_id").alias("id"), "run")
 
 

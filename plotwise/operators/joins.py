@@ -180,11 +180,14 @@ def neighbour_fill(
     out = df
     names = {c: [F.col(c)] for c in cols}
     for rank, (neighbour, distance) in enumerate(neighbours):
-        donor = source.select(
-            F.col(key[0]).alias("_donor"),
-            F.col(year).alias("_donor_year"),
-            *[F.col(c).alias(f"_n{rank}_{c}") for c in cols],
-        ).dropDuplicates(["_donor", "_donor_year"])
+        # Of several rows of a donor, the one with the fewest nulls; ties by the values themselves.
+        values = F.struct(*[F.col(c).alias(f"_n{rank}_{c}") for c in cols])
+        nulls = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
+        donor = (
+            source.groupBy(F.col(key[0]).alias("_donor"), F.col(year).alias("_donor_year"))
+            .agg(F.min_by(values, F.struct(nulls.alias("_nulls"), values.alias("_values"))).alias("_row"))
+            .select("_donor", "_donor_year", "_row.*")
+        )
         # Rows without a near neighbour get a key of their own, or they would all meet in one task.
         near = F.coalesce(
             F.when(F.col(distance) <= max_dist, F.col(neighbour)), F.concat(F.lit("none:"), F.col(key[0]))

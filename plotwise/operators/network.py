@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from plotwise.session import settle
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component) with the lowest node id as the component.
 
     Alternates "large star" and "small star" steps: every node's larger, then smaller, neighbours are tied to
     the lowest one. Steps are a minimum and a join, so a hub is combined before the shuffle. The number of
-    rounds grows with the logarithm of the graph. Each round is written to the checkpoint folder.
+    rounds grows with the logarithm of the graph; they end when one changes nothing. Each round is written to
+    the checkpoint folder.
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
     nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
     work = settle(pairs.where("a != b").distinct())
     before = None
-    for _ in range(max_rounds):
+    while True:
         work = settle(_small_star(_large_star(work)))
         state = work.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
@@ -27,8 +28,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError(f"not settled after {max_rounds} rounds")
     roots = work.groupBy("a").agg(F.min("b").alias("_root"))
     joined = nodes.join(roots, nodes["node"] == roots["a"], "left")
     return joined.select("node", F.coalesce("_root", "node").alias("component"))

@@ -150,11 +150,12 @@ def running_total(
 def streak(
     df: DataFrame, keys: list[str], order: list[str], flag: Column, out: str, chunk: Column | None = None
 ) -> DataFrame:
-    """Length of the unbroken run of true flags that ends at each row; 0 where the flag is false.
+    """Length of the run of true flags that ends at each row; 0 where the flag is false.
 
-    The running count of true rows minus that count at the last false row.
+    The running count of true rows minus that count at the last false row. A null flag neither counts nor breaks: the
+    row carries the run on, and has none (null) before the key's first known flag.
     """
-    marked = df.withColumn("_on", F.coalesce(flag, F.lit(False)).cast("long"))
+    marked = df.withColumn("_on", flag.cast("long"))
     counted = running_total(marked, keys, order, {"_on": "_count"}, chunk)
     broken = counted.withColumn("_reset", F.when(F.col("_on") == 0, F.col("_count")))
     known = fill_forward(broken, keys, order, {"_reset": "_base"}, chunk)

@@ -96,7 +96,6 @@ def exemption_streaks(w: Warehouse) -> DataFrame:
 
 
 # Columns that other tables bring in, under the model's names.
-_ROAD_MEASURES = ("daily_traffic", "dist_ft", "lanes", "speed_limit", "surface_type")
 LOCATION_COLUMNS = [
     "census_puma_geoid", "census_tract_geoid", "census_data_year", "census_acs5_puma_geoid", "census_acs5_tract_geoid",
     "census_acs5_data_year", "tax_municipality_name", "ward_num", "chicago_community_area_name",
@@ -107,23 +106,41 @@ LOCATION_COLUMNS = [
 DISTANCE_COLUMNS = [
     "num_pin_in_half_mile", "num_bus_stop_in_half_mile", "num_foreclosure_per_1000_pin_past_5_years", "num_school_in_half_mile",
     "num_school_with_rating_in_half_mile", "avg_school_rating_in_half_mile", "airport_dnl_total", "lake_michigan_dist_ft",
-    *[
-        f"nearest_{n}_dist_ft"
-        for n in (
-            "bike_trail", "cemetery", "cta_route", "cta_stop", "golf_course", "grocery_store", "hospital", "major_road", "metra_route",
-            "metra_stop", "new_construction", "park", "railroad", "secondary_road", "stadium", "university", "vacant_land", "water",
-        )
-    ],
-    *[f"nearest_road_{r}_{m}" for r in ("arterial", "collector", "highway") for m in _ROAD_MEASURES],
+    "nearest_bike_trail_dist_ft", "nearest_cemetery_dist_ft", "nearest_cta_route_dist_ft", "nearest_cta_stop_dist_ft",
+    "nearest_golf_course_dist_ft", "nearest_grocery_store_dist_ft", "nearest_hospital_dist_ft", "nearest_major_road_dist_ft",
+    "nearest_metra_route_dist_ft", "nearest_metra_stop_dist_ft", "nearest_new_construction_dist_ft", "nearest_park_dist_ft",
+    "nearest_railroad_dist_ft", "nearest_secondary_road_dist_ft", "nearest_stadium_dist_ft", "nearest_university_dist_ft",
+    "nearest_vacant_land_dist_ft", "nearest_water_dist_ft", "nearest_road_arterial_daily_traffic",
+    "nearest_road_arterial_dist_ft", "nearest_road_arterial_lanes", "nearest_road_arterial_speed_limit",
+    "nearest_road_arterial_surface_type", "nearest_road_collector_daily_traffic", "nearest_road_collector_dist_ft",
+    "nearest_road_collector_lanes", "nearest_road_collector_speed_limit", "nearest_road_collector_surface_type",
+    "nearest_road_highway_daily_traffic", "nearest_road_highway_dist_ft", "nearest_road_highway_lanes",
+    "nearest_road_highway_speed_limit", "nearest_road_highway_surface_type",
 ]
 SURVEY_COLUMNS = ["count_sex_total", "median_household_owner_occupied_value"] + [
     p.removeprefix("acs5_") for p in PREDICTORS if p.startswith("acs5_")
 ]
 SHAPE_COLUMNS = [p for p in PREDICTORS if p.startswith("shp_")]
-NEIGHBOUR_COLUMNS = [f"nearest_neighbor_{i}_{m}" for i in (1, 2, 3) for m in ("pin10", "dist_ft")]
+NEIGHBOUR_COLUMNS = [
+    "nearest_neighbor_1_pin10", "nearest_neighbor_1_dist_ft", "nearest_neighbor_2_pin10", "nearest_neighbor_2_dist_ft",
+    "nearest_neighbor_3_pin10", "nearest_neighbor_3_dist_ft",
+]
 HISTORY_COLUMNS = {
-    **{f"{s}_{v}": f"meta_{s}_{v}" for s in ("mailed", "certified", "board") for v in ("bldg", "land", "tot")},
-    **{f"{word}yr_pri_board_{v}": f"meta_{n}yr_pri_board_{v}" for word, n in (("one", 1), ("two", 2)) for v in ("bldg", "land", "tot")},
+    "mailed_bldg": "meta_mailed_bldg",
+    "mailed_land": "meta_mailed_land",
+    "mailed_tot": "meta_mailed_tot",
+    "certified_bldg": "meta_certified_bldg",
+    "certified_land": "meta_certified_land",
+    "certified_tot": "meta_certified_tot",
+    "board_bldg": "meta_board_bldg",
+    "board_land": "meta_board_land",
+    "board_tot": "meta_board_tot",
+    "oneyr_pri_board_bldg": "meta_1yr_pri_board_bldg",
+    "oneyr_pri_board_land": "meta_1yr_pri_board_land",
+    "oneyr_pri_board_tot": "meta_1yr_pri_board_tot",
+    "twoyr_pri_board_bldg": "meta_2yr_pri_board_bldg",
+    "twoyr_pri_board_land": "meta_2yr_pri_board_land",
+    "twoyr_pri_board_tot": "meta_2yr_pri_board_tot",
 }
 
 

@@ -136,7 +136,11 @@ def distance_to(w: Warehouse, name: str) -> DataFrame:
     found = found.select(
         *SPOT, *columns, F.col("dist").alias(f"{stem}_dist_ft"), F.col("source_year").alias(f"{stem}_data_year")
     ).where(F.col(f"{stem}_dist_ft").isNotNull())
-    return parcel_rows(w).join(found, SPOT).drop(X, Y).dropDuplicates(["pin10", "year"])
+    rows = parcel_rows(w).join(found, SPOT).drop(X, Y)
+    # Of several places of a parcel in a year, the one with the shortest way; ties by the row's values.
+    rest = F.struct(*[c for c in rows.columns if c not in ("pin10", "year")])
+    chosen = rows.groupBy("pin10", "year").agg(F.min_by(rest, F.struct(F.col(f"{stem}_dist_ft"), rest)).alias("_row"))
+    return chosen.select("pin10", "year", "_row.*").select(*rows.columns)
 
 
 def _register(name: str) -> None:

@@ -392,6 +392,7 @@ FARM_CLASSES = ("239", "224")
 
 def land_tests() -> Column:
     """Texts of all land checks that a row fails."""
+    # The checks and the texts they print.
     farm, lot, code = F.col("class").isin(*FARM_CLASSES), F.col("ltype"), F.col("code")
     tests = [
         (farm & (lot != "A"), "❌ Error: Farmland must have land type A (Acre)"),

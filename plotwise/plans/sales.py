@@ -49,7 +49,9 @@ DECLARATION_LINES = {
     "line_10s_senior_citizens": "homestead_exemption_senior_citizens",
     "line_10s_senior_citizens_assessment_freeze": "homestead_exemption_senior_citizens_assessment_freeze",
 }
-SUSPECT_LINES = [f"line_10{letter}" for letter in "bcdefghik"]
+SUSPECT_LINES = [
+    "line_10b", "line_10c", "line_10d", "line_10e", "line_10f", "line_10g", "line_10h", "line_10i", "line_10k",
+]
 
 
 def document_number(c: str) -> Column:
