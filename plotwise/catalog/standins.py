@@ -77,7 +77,7 @@ SELECT parid, taxyr, class, CASE WHEN k % 31 = 6 THEN 'RR' ELSE 'RP' END AS roll
 SELECT parid, yr AS taxyr, CAST(ln AS INT) AS lline, qty * 100 AS sf, CASE WHEN ln % 2 = 0 THEN 1.0 END AS influ, CASE WHEN ln % 3 = 0 THEN 0.5 END AS allocpct, CASE WHEN part % 19 = 0 THEN '35' WHEN part % 23 = 0 THEN '30' END AS infl1,
  CAST(NULL AS STRING) AS infl2, 'SAPx' AS user7, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat, CASE WHEN part % 5 = 0 THEN 'A' ELSE 'S' END AS ltype, CASE WHEN part % 4 = 0 THEN '900' ELSE '0' END AS code,
  CASE WHEN part % 2 = 0 THEN '200' ELSE '100' END AS class, 2.0 AS brate, 1.0 AS acres, 1.0 AS orate, 5.0 AS price, CAST(NULL AS DOUBLE) AS ovrprice, 'n' AS note1, CAST(NULL AS DOUBLE) AS influ2, 0 AS oincr, 0 AS odecr, 0 AS exmppct, 0 AS osize
- FROM w_line WHERE ok % 3 = 0""",
+ FROM w_line""",
         "w_dweldat": """
 SELECT parid, taxyr, CAST(c.card AS INT) AS card, CAST(c.card AS INT) AS seq, class, 'who' AS who, taxyr || '-02-03 11:12:13.0' AS wen, CASE WHEN k % 3 = 0 THEN 'AV' ELSE 'AI' END AS cdu, '100' AS user24, CAST(k % 2 AS DOUBLE) * 40 AS external_propct,
  CAST(1900 + k % 120 AS INT) AS yrblt, CAST(500 + v % 3000 AS BIGINT) AS sfla, CAST(1 + v % 5 AS INT) AS rmbed, 6 AS rmtot, CAST(1 + v % 3 AS INT) AS fixbath, CAST(v % 2 AS INT) AS fixhalf, 1 AS wbfp_o, CAST(1 + k % 9 AS INT) AS stories, '2' AS grade,
@@ -106,7 +106,7 @@ SELECT excode, taxyr, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat FROM (SELECT
 SELECT parid, yr AS taxyr, CASE WHEN ok % 13 = 0 THEN 'COE' || CAST(ok AS STRING) ELSE 'A' || CAST(ok AS STRING) END AS caseno, CASE WHEN ok % 5 = 0 THEN 'C' WHEN ok % 5 = 1 THEN 'X' ELSE 'A' END AS heartyp, 1 AS subkey,
  CASE ok % 4 WHEN 0 THEN 'CC' WHEN 1 THEN 'RS' WHEN 2 THEN 'IC' ELSE 'LD' END AS user38, 'Y' AS user19, 'N' AS user20, CAST(NULL AS STRING) AS user21, 'Y' AS user22, 'N' AS user23, 'Y' AS user24, 'N' AS user25, 'Y' AS user109, 'N' AS user110, 'Y' AS user40, 'other' AS user81,
  CASE WHEN ok % 2 = 0 THEN ' Decrease' WHEN ok % 3 = 0 THEN 'NO CHANGE' ELSE 'Change' END AS user104, 'C' AS resact, CASE status WHEN 'F' THEN 'C' ELSE status END AS hrstatus, 'AG' || CAST(ok % 9 AS STRING) AS cpatty, 'v' AS user125, '1:x' AS user42, '0' AS user43, '2 y' AS user44,
- '1-' AS user89, '2' AS user100, CAST(NULL AS STRING) AS user101, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat FROM w_order WHERE ok % 4 < 2""",
+ '1-' AS user89, '2' AS user100, CAST(NULL AS STRING) AS user101, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat FROM w_order""",
         "w_owndat": """
 SELECT parid, taxyr, name AS own1, CAST(NULL AS STRING) AS own2, CASE WHEN k % 3 = 0 THEN '' ELSE 'PO BOX ' || CAST(k AS STRING) END AS addr1, CASE WHEN k % 6 = 0 THEN 'SUITE' END AS addr2, CAST(k % 90 AS INT) AS adrno, 'S' AS adrdir, 'OAK' AS adrstr, 'ST' AS adrsuf, CAST(NULL AS STRING) AS unitdesc,
  CAST(NULL AS STRING) AS unitno, 'TOWN' AS cityname, 'IL' AS statecode, '60000' AS zip1, '0000' AS zip2, CASE WHEN k % 4 = 0 THEN CAST(k AS STRING) END AS ownnum, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat FROM w_py""",
@@ -116,7 +116,7 @@ SELECT parid, taxyr, CAST(m.seq AS INT) AS mailseq, name || '  ' AS mail1, seg A
         "w_permit": """
 SELECT parid, CAST(ok AS STRING) AS iasw_id, CAST(ok AS STRING) AS num, day AS permdt, day AS certdate, CASE WHEN ok % 2 = 0 THEN 'A' ELSE 'N' END AS user18, CAST(price AS DOUBLE) AS amount, status AS flag, '(20' || substr(yr, 3) || ')' AS user11, 'L' AS user28, yr AS user31, CAST(NULL AS STRING) AS udate3, day AS wen,
  day AS udate2, CAST(k % 90 AS INT) AS adrno, CAST(NULL AS STRING) AS adrdir, CASE WHEN ok % 3 = 0 THEN 'N' ELSE 'NW' END AS adradd, 'ELM' AS adrstr, 'ST' AS adrsuf, CAST(NULL AS STRING) AS adrsuf2, 'A,,B,,' AS note2, name AS user21, '1' AS why, '111' AS user42, 'roof' AS user43, '390' AS user6, '900' AS user7,
- CAST(NULL AS STRING) AS user8, CAST(NULL AS STRING) AS user9, 'f' AS id1, 'n' AS note3, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat FROM w_order WHERE ok % 6 = 1""",
+ CAST(NULL AS STRING) AS user8, CAST(NULL AS STRING) AS user9, 'f' AS id1, 'n' AS note3, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat FROM w_order""",
         "w_aprval": """
 SELECT parid, taxyr, CAST(k % 30 AS STRING) AS reascd, 'ASSRFINAL' AS procname, CASE WHEN k % 40 = 0 THEN 1.0 END AS ecf, 'staff' AS who, taxyr || '-04-05 08:09:10.0' AS wen, 'w' AS wencalc, 'x' AS whocalc, 'n' AS spcflg, CASE WHEN k % 2 = 0 THEN '1' END AS revcode, taxyr || '-04-05 00:00:00.0' AS revdt, v % 900 AS comval,
  v % 800 AS obyval, v % 10000 * 10 AS aprland, v % 70000 * 10 AS aprbldg, (v % 10000 + v % 70000) * 10 AS aprtot, v % 60000 AS dwelval, 0 AS exmppct, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat FROM w_py""",
@@ -171,7 +171,7 @@ def lines(t: Tables, **attributes) -> DataFrame:
     """Short lines of parts in two years."""
     ring = F.array(F.array(geo.xy(F.col("x1"), F.col("y1")), geo.xy(F.col("x2"), F.col("y2"))))
     year = F.explode(F.array(F.lit("2019"), F.lit("2022"))).alias("year")
-    return t.road.where("road_id % 20 = 0").select(year, ring.alias("rings"), *[F.expr(c).alias(n) for n, c in attributes.items()])
+    return t.road.select(year, ring.alias("rings"), *[F.expr(c).alias(n) for n, c in attributes.items()])
 
 
 def dots(t: Tables, **attributes) -> DataFrame:
@@ -308,7 +308,7 @@ def sources(t: Tables) -> dict:
         "sale.group_mean": lambda: t.w_flag.groupBy("run_id", F.col("grp").alias("group")).agg(F.count(F.lit(1)).alias("group_size")),
         "sale.parameter": lambda: t.w_flag.select("run_id").distinct().withColumn("min_group_thresh", F.lit(30)),
         "sale.deed_type": lambda: t.w_sales.select(F.col("instrtyp").alias("deed_num")).distinct().where("deed_num IS NOT NULL").withColumn("deed_name", F.concat(F.lit("deed "), "deed_num")),
-        "sale.foreclosure": lambda: t.w_order.where("ok % 20 = 0").select(
+        "sale.foreclosure": lambda: t.w_order.select(
             F.to_date("day").alias("foreclosure_recording_date"), ((F.col("ok") * 4001) % 10007).cast("double").alias("x"), ((F.col("ok") * 3001) % 10009).cast("double").alias("y")
         ),
         "hidename": lambda: t.w_parcel.where("k % 37 = 0").select(F.col("parid").alias("pin")),
@@ -395,7 +395,7 @@ def sources(t: Tables) -> dict:
 
 def training_rows(t: Tables) -> DataFrame:
     """Sales as training rows of every run."""
-    rows = t.w_order.where("ok % 5 = 0").select(
+    rows = t.w_order.select(
         F.col("parid").alias("meta_pin"), F.lpad(F.col("ok").cast("string"), 10, "0").alias("meta_sale_document_num"), F.col("price").cast("double").alias("meta_sale_price"), F.to_date("day").alias("meta_sale_date"), F.col("yr").alias("meta_year"),
         (F.col("k") % 2 == 0).alias("ind_pin_is_multicard"), F.lit("addr").alias("loc_property_address"), (F.col("price") % 3000).alias("char_bldg_sf"), F.lit(1950).alias("char_yrblt"), F.lit(1.0).alias("assr_is_active_exe_homeowner"),
         (F.col("k") % 25).cast("string").alias("loc_school_elementary_district_geoid"), F.lit(None).cast("string").alias("loc_school_secondary_district_geoid"),
