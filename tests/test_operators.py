@@ -108,3 +108,45 @@ def test_text_helpers(spark):
     assert slugify("Tax Year/Parcel-Id") == "tax_year_parcel_id"
     with pytest.raises(ValueError):
         extra_columns([{"alias": "x"}])
+
+
+def test_streak_carries_on_over_nulls(spark):
+    rows = [(1, t, f) for t, f in enumerate([None, 1, None, 1, 0, None, 1])]
+    df = spark.createDataFrame(rows, "k int, t int, f int").withColumn("block", F.col("t") / 3)
+    for chunk in (None, F.floor("block")):
+        got = ordered.streak(df, ["k"], ["t"], F.col("f") == 1, "n", chunk).orderBy("t").collect()
+        assert [r.n for r in got] == [None, 1, 1, 2, 0, 0, 1]
+
+
+def test_neighbour_fill_takes_the_fullest_donor(spark):
+    from plotwise.operators.joins import neighbour_fill
+
+    rows = spark.createDataFrame([("a", "2020", None, "b", 1.0), ("b", "2020", None, "a", 1.0), ("b", "2020", 7, "a", 1.0), ("b", "2020", 9, "a", 1.0)], "pin string, year string, v int, near string, dist double")
+    for _ in range(2):
+        got = neighbour_fill(rows.repartition(3), ["pin"], [("near", "dist")], "year", ["v"], 10.0).where("pin = 'a'").collect()
+        assert [r.v for r in got] == [7]
+
+
+def test_unknown_predictor_is_refused():
+    import pytest
+    from plotwise.plans.predictors import predictors
+
+    with pytest.raises(ValueError):
+        predictors(["char_beds"], exclude=("char_bed",))
+
+
+def test_long_chains_settle(spark):
+    from plotwise.operators.network import connected_components
+
+    edges = spark.createDataFrame([(f"{i:05d}", f"{i + 1:05d}") for i in range(300)], "src string, dst string")
+    assert {r.component for r in connected_components(edges).collect()} == {"00000"}
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=root, capture_output=True, text=True)
+    assert done.returncode == 0 and int(done.stdout.split()[-1]) > 300
