@@ -46,6 +46,7 @@ class Settings:
     prior: float = 0.1  # share of unwanted hosts that is expected
     seed_weight: float = 4.0  # hosts' worth of a labelled host
     smooth: float = 0.5
+    trust: float = 50.0  # words of a class in the corpus that weigh half of the labelled table
     rank_shift: float = 10.0  # of Zipf's law
     letter: float = 4.0  # cost of a letter outside the vocabulary, beside that of a new word
 
@@ -195,13 +196,15 @@ def fit(pages: DataFrame, vocabulary: str, settings: Settings = Settings(), url_
             yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[0, used]), pa.array(total[1, used])], ["slot", "wanted", "unwanted"])
 
     rows = hosts.mapInArrow(count, "slot long, wanted double, unwanted double").groupBy("slot").agg(F.sum("wanted").alias("wanted"), F.sum("unwanted").alias("unwanted")).toPandas()
-    # corpus counts weigh as much as the labelled table, however large the corpus
-    counts = seeds.counts.copy()
+    # Each class's words are shares of that class, as unwanted hosts are few: the corpus weighs as much as the labelled
+    # table, and less while either class has seen little of it.
+    counts, totals = seeds.counts.copy(), [float(rows[name].sum()) for name in ("wanted", "unwanted")]
+    least = min(totals)
     for k, name in enumerate(("wanted", "unwanted")):
-        total = float(rows[name].sum()) if len(rows) else 0.0
-        if total > 0:
+        if least > 0:
+            weight = seeds.counts[k].sum() / totals[k] * least / (least + settings.trust)
             # rounded, as sums of doubles depend on the order of the tasks
-            np.add.at(counts[k], rows["slot"].to_numpy(), np.round(rows[name].to_numpy() * min(1.0, seeds.counts[k].sum() / total), 6))
+            np.add.at(counts[k], rows["slot"].to_numpy(), np.round(rows[name].to_numpy() * weight, 6))
     return Model(segmenter, settings, counts)
 
 
