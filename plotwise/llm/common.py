@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from plotwise.session import ensure_checkpoint_dir
 
 #: Text bytes that are worked on at once in a task.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 2 << 20
 
 #: A-Z to a-z, other bytes as they are.
 LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())

@@ -25,6 +25,9 @@ _HEAD = byte_table(lambda b: b < 0x80 or b >= 0xC0)  # a character begins here
 MARK = b"_"
 #: Longer runs of letters are scored as runs of so many bytes.
 LONGEST = 256
+#: Words in one lattice and text bytes in one batch: they bound a task's memory.
+WORDS = 16_000
+TEXT_BYTES = 2 << 20
 #: Factor for each byte that keeps sums within the range of doubles; it is taken out again.
 SCALE = 8.0
 
@@ -163,13 +166,13 @@ def fit_pieces(words: list[bytes], counts: np.ndarray, pieces: Pieces, settings:
     p = np.append(np.full(n, 1.0 / n), settings.unknown)[:, None]
     for _ in range(settings.rounds):
         expected = np.zeros(n + 1)
-        for at in range(0, len(words), 50_000):
-            lattice = Lattice(words[at : at + 50_000], pieces)
+        for at in range(0, len(words), WORDS):
+            lattice = Lattice(words[at : at + WORDS], pieces)
             alpha, beta = lattice.forward(p), lattice.backward(p)
             total = np.maximum(alpha[lattice.node + lattice.sizes, 0], 1e-300)
             word = np.searchsorted(lattice.node, lattice.start, side="right") - 1
             share = alpha[lattice.start, 0] * p[lattice.piece, 0] * SCALE**lattice.span * beta[lattice.end, 0] / total[word]
-            expected += np.bincount(lattice.piece, share * counts[at : at + 50_000][word], n + 1)
+            expected += np.bincount(lattice.piece, share * counts[at : at + WORDS][word], n + 1)
         known = expected[:n] + settings.smooth
         p[:n, 0] = known / known.sum()
     return p[:n, 0]
@@ -208,7 +211,7 @@ class Model:
         words, index, at = _distinct_words(texts)
         total = np.zeros((n, self.p.shape[1]))
         if words and self.languages:
-            logs = Lattice(words, self.pieces).log_words(self.p)
+            logs = np.concatenate([Lattice(words[a : a + WORDS], self.pieces).log_words(self.p) for a in range(0, len(words), WORDS)])
             sums = np.zeros((len(index) + 1, logs.shape[1]))
             np.cumsum(logs[index], axis=0, out=sums[1:])
             total = sums[at[1:]] - sums[at[:-1]]
@@ -234,7 +237,7 @@ def fit(docs: DataFrame, vocabulary_path: str, settings: Settings = Settings(),
     sample = picked.join(F.broadcast(chosen), ["doc_id", "lang"])  # bounded by examples and languages
 
     def count(batches):
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             langs = np.array(batch.column("lang").to_pylist())
             words, index, at = _distinct_words(batch.column("text"))
             names, code = np.unique(langs, return_inverse=True)
@@ -253,7 +256,7 @@ def fit(docs: DataFrame, vocabulary_path: str, settings: Settings = Settings(),
         return pd.DataFrame({"lang": rows["lang"].iloc[0], "p": [p.tobytes()]})
 
     counts = sample.select("lang", "text").mapInArrow(count, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    fitted = counts.groupBy("lang").applyInPandas(train, "lang string, p binary").orderBy("lang").collect()
+    fitted = sorted(counts.groupBy("lang").applyInPandas(train, "lang string, p binary").collect(), key=lambda r: r.lang)
     columns = [np.frombuffer(r.p) for r in fitted] + [np.full(len(pieces.pieces), 1.0 / len(pieces.pieces))]
     p = np.vstack([np.stack(columns, axis=1), np.full((1, len(columns)), settings.unknown)])
     return Model([r.lang for r in fitted], pieces, p)
@@ -268,7 +271,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     own = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary and the languages
 
     def run(batches):
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", TEXT_BYTES):
             langs, scores = own.value.score_texts(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
@@ -281,7 +284,7 @@ def in_known_language(docs: DataFrame, model: Model, least: float = 0.5, text_co
     own = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in chunks(batches, text_col):
+        for batch in chunks(batches, text_col, TEXT_BYTES):
             langs, scores = own.value.score_texts(batch.column(text_col))
             yield batch.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores)], pa.bool_()))
 

@@ -21,6 +21,9 @@ from plotwise.llm.common import LOWER, byte_table, chunks, mix, ragged, span_has
 
 _INSIDE = byte_table(lambda b: b >= 0x80 or chr(b).isalnum())
 _LOWER = np.frombuffer(LOWER, np.uint8)
+_LOW = np.uint64((1 << 20) - 1)
+#: Likelihood ratio from which a term counts as telling the classes apart (chance: 1 in 2,000 terms).
+TELLING = 12.0
 
 
 @dataclass(frozen=True)
@@ -36,17 +39,20 @@ class Settings:
     prior: float = 0.5  # votes' worth of the base rate
 
 
-def features(texts: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted (text, term) pairs: text numbers, term hashes; and how many terms each text has by all its words."""
+def features(texts: pa.Array, settings: Settings, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted (text, term) pairs: text numbers and term hashes; of all words, or of those whose low bits are marked in ``seen``."""
     raw, bounds = text_buffer(texts)
     raw = _LOWER[raw]
     starts, ends, at = words_of(raw, bounds, _INSIDE)
     owner = np.repeat(np.arange(len(bounds) - 1), np.diff(at))
-    owners, hashes = [owner], [span_hashes(raw, starts, ends)]
-    for n in settings.prefixes:
-        longer = ends - starts > n
-        owners.append(owner[longer])
-        hashes.append(mix(span_hashes(raw, starts[longer], starts[longer] + n) + np.uint64(n)))
+    owners, hashes = [], []
+    for n in (0, *settings.prefixes):
+        longer = slice(None) if n == 0 else np.flatnonzero(ends - starts > n)
+        h = span_hashes(raw, starts[longer], ends[longer] if n == 0 else starts[longer] + n)
+        h = h if n == 0 else mix(h + np.uint64(n))
+        use = slice(None) if seen is None else np.flatnonzero(seen[h & _LOW])
+        owners.append(owner[longer][use])
+        hashes.append(h[use])
     owner, h = np.concatenate(owners), np.concatenate(hashes)
     order = np.lexsort((h, owner))
     owner, h = owner[order], h[order]
@@ -57,8 +63,9 @@ def features(texts: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarra
     text = np.repeat(owner[first], levels)
     level = np.arange(levels.sum()) - np.repeat(np.cumsum(levels) - levels, levels)
     term = np.repeat(h[first], levels)
-    term = np.where(level > 0, mix(term + level.astype(np.uint64)), term)
-    return text, term, np.diff(at)
+    # all levels of a word keep its low bits, by which words are looked up
+    term = np.where(level > 0, (mix(term + level.astype(np.uint64)) & ~_LOW) | (term & _LOW), term)
+    return text, term
 
 
 class Model:
@@ -67,6 +74,8 @@ class Model:
     def __init__(self, settings: Settings, terms: np.ndarray, idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, columns: np.ndarray):
         """terms are sorted hashes; (rows, columns) say which example has which term."""
         self.settings, self.terms, self.idf, self.ids, self.labels = settings, terms, idf, ids, labels
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[terms & _LOW] = True
         n, size = len(ids), settings.block
         weight = idf[columns]
         norm = np.sqrt(np.bincount(rows, weight * weight, n))
@@ -112,7 +121,7 @@ class Model:
         upper = weights @ self.most[columns]
         order = np.argsort(-upper, kind="stable")
         best, cosines = np.zeros(0, np.int64), np.zeros(0)
-        at, width = 0, 4
+        at, width = 0, 16
         while at < len(order):
             some = order[at : at + width]
             kth = cosines[k - 1] if len(cosines) >= k else 0.0
@@ -131,7 +140,7 @@ class Model:
             best, cosines = np.append(best, example[keep]), np.append(cosines, score[found][keep])
             top = np.lexsort((best, -cosines))[:k]
             best, cosines = best[top], cosines[top]
-            at, width = at + width, width * 2
+            at, width = at + width, width * 4
         return best, cosines
 
     def vote(self, examples: np.ndarray, cosines: np.ndarray) -> float:
@@ -143,7 +152,7 @@ class Model:
 
     def score_texts(self, texts: pa.Array) -> tuple[list[float], list[list[int]], list[list[float]]]:
         """Score and evidence (examples' ids and cosines) of each text."""
-        text, term, _ = features(texts, self.settings)
+        text, term = features(texts, self.settings, self.seen)
         scores, who, near = [], [], []
         if len(self.terms):
             place = np.minimum(np.searchsorted(self.terms, term), len(self.terms) - 1)
@@ -181,7 +190,7 @@ def choose_terms(with_0: np.ndarray, with_1: np.ndarray, n_0: int, n_1: int, mos
         return k * np.log(np.maximum(q, 1e-12) / np.maximum(p, 1e-12)) + (n - k) * np.log(np.maximum(1 - q, 1e-12) / np.maximum(1 - p, 1e-12))
 
     gain = 2 * (part(a, n_1, share) + part(b, n_0, share))
-    good = np.flatnonzero((a + b >= 3) & (a / max(n_1, 1) > b / max(n_0, 1)) & (gain > 10.83))
+    good = np.flatnonzero((a + b >= 3) & (a / max(n_1, 1) > b / max(n_0, 1)) & (gain > TELLING))
     return good[np.lexsort((good, -gain[good]))][:most] if total else good[:0]
 
 
@@ -200,7 +209,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
 
     def spread(batches):
         for batch in chunks(batches, "text"):
-            text, term, _ = features(batch.column("text"), settings)
+            text, term = features(batch.column("text"), settings)
             bounds = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.ListArray.from_arrays(pa.array(bounds), pa.array(term.view(np.int64)))], ["doc_id", "label", "terms"])
 
