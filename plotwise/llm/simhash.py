@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plotwise.llm.alike import labelled
 from plotwise.llm.common import LOWER, chunks, ragged, stored
 from plotwise.llm.components import components
 
@@ -300,7 +301,7 @@ def _similar(links: DataFrame, docs: DataFrame, first: DataFrame, words: int, si
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     ends = links.select(F.col("x").alias("fingerprint")).union(links.select("y")).distinct()
-    wanted = first.join(ends, "fingerprint").select("doc_id", "text_hash", "fingerprint")
+    wanted = stored(first.join(ends, "fingerprint").select("doc_id", "text_hash", "fingerprint"), "simhash-wanted")
     texts = docs.join(wanted, ["doc_id", "text_hash"]).select("fingerprint", "text")
     held = stored(texts.mapInArrow(sets, "fingerprint long, shingles binary").dropDuplicates(["fingerprint"]), "simhash-shingles")
     one = held.select(F.col("fingerprint").alias("x"), F.col("shingles").alias("one"))
@@ -308,26 +309,31 @@ def _similar(links: DataFrame, docs: DataFrame, first: DataFrame, words: int, si
     return links.join(one, "x").join(other, "y").select("x", "y", "one", "other").mapInArrow(compare, "x long, y long")
 
 
-def one_of_each(docs: DataFrame, bits: int = 10, words: int = 5, similarity: float = 0.8, print_words: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns as they are, without near copies: of each group the one with the smallest doc_id stays.
 
     Documents are linked if their sets of shingles of ``words`` words have a Jaccard similarity of ``similarity`` or
-    more. Candidates are those whose fingerprints differ in ``bits`` or fewer bits. These fingerprints are taken over
-    the distinct runs of ``print_words`` words: a changed word touches fewer of them, so a similarity of 0.8 in
-    five-word shingles is about 6 bits there (10 bits miss 1 in 5,000 such pairs of the test data), where fingerprints
-    over five words differ in 9 or more. Equal fingerprints are one text here. Texts without
+    more. All such pairs count, whatever the kind of edit: candidates come from ``alike``, which loses none. Only texts
+    with the same set of shingles are one text beforehand. Texts without
     words are one group. Of repeated rows with the same id and text one stays; a null id loses to any other. An empty
     table stays empty. Other columns may have any names.
     """
-    prints = stored(fingerprints(docs, print_words, True, id_col, text_col), "simhash")
+    def hashed(text: str) -> np.ndarray:
+        return np.unique(hashes(text.encode(), words))
+
+    def named(batches):
+        for batch in chunks(batches, "text"):
+            found = [xxhash.xxh64_intdigest(hashed(t).tobytes(), 42) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(found, np.uint64).view(np.int64))], [*batch.schema.names, "fingerprint"])
+
+    texts = _picked(docs, id_col, text_col).mapInArrow(named, "doc_id long, text_hash long, text string, fingerprint long")
+    prints = stored(texts.drop("text"), "sets")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
-    first = stored(first.select("fingerprint", "first.*"), "simhash-distinct")
+    first = stored(first.select("fingerprint", "first.*"), "sets-distinct")
     ids = F.coalesce("doc_id", F.lit(-1)).alias("doc_id")
-    links = stored(linked(first, bits, closer=(bits * 2 // 5, bits * 7 // 10)), "simhash-links")
-    texts = _picked(docs, id_col, text_col)
-    same = _similar(links, texts.select(ids, "text_hash", "text"), first.select(ids, "text_hash", "fingerprint"), words, similarity)
-    labels = components(same, "x", "y").select(F.col("id").alias("fingerprint"), F.col("component").alias("label"))
+    picked = _picked(docs, id_col, text_col).select(ids, "text_hash", "text")
+    labels = labelled(texts, hashed, similarity, lambda links: _similar(links, picked, first.select(ids, "text_hash", "fingerprint"), words, similarity))
     grouped = first.join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
     kept = stored(grouped.groupBy("label").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.text_hash"), "simhash-kept")
     own_hash = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
