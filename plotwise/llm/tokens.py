@@ -43,12 +43,18 @@ class BatchEncoder:
     A text is cut into units only where the vocabulary's pre-tokenizer always begins a new piece: before a single space
     between two other characters, between a letter or digit and a punctuation mark, around a single line end. So the
     ids of a text are those of its units in a row. The tokenizers library encodes each unit; up to ``max_units`` are
-    kept for later batches, then the store starts anew. Special tokens' strings in a text are ordinary text.
+    kept for later batches, then the store starts anew. With ``added`` the strings of added tokens in a text are these
+    tokens, as by the library's default, and each is a unit of its own; without it they are ordinary text.
     """
 
-    def __init__(self, path: str, max_units: int = 250_000):
+    def __init__(self, path: str, max_units: int = 250_000, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        own = list(self.tokenizer.get_added_tokens_decoder().values()) if added else []
+        strings = sorted((t.content.encode() for t in own), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, strings))) if strings else None
+        # tokens that take in what stands beside them: such a text is one unit
+        self.whole = any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in own)
         self.words = Tokenizer(self.tokenizer.model)
         self.alphabet = _byte_letters()
         self.line = chr(self.alphabet[10])
@@ -73,8 +79,9 @@ class BatchEncoder:
 
     def _learn(self, missing: list[bytes]) -> None:
         letters = _LETTERS.fullmatch
-        words = [u for u in missing if letters(u)]
-        other = [u for u in missing if not letters(u)]
+        plain = (lambda u: letters(u) and not self.added.search(u)) if self.added else letters
+        words = [u for u in missing if plain(u)]
+        other = [u for u in missing if not plain(u)]
         ids, counts = self._letters(words) if words else ([], [])
         got = [x.ids for x in self.tokenizer.encode_batch_fast([u.decode() for u in other], add_special_tokens=False)]
         ids += [i for x in got for i in x]
@@ -92,6 +99,20 @@ class BatchEncoder:
         self.used += len(ids)
         self.slots.update(zip(units, range(first, first + n)))
 
+    def _around_added(self, raw: np.ndarray, bounds: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+        """The cuts with one before and behind each added token's string, and none inside."""
+        buffer = raw.tobytes()
+        if self.added is None or not self.added.search(buffer):
+            return cuts
+        found = []
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            spans = [m.span() for m in self.added.finditer(buffer, a, b)]
+            found += [(a, b)] if spans and self.whole else spans
+        first, behind = np.array(found, np.int64).reshape(-1, 2).T
+        at = np.searchsorted(first, cuts, side="right") - 1
+        inside = (at >= 0) & (cuts > first[at]) & (cuts < behind[at]) if len(first) else np.zeros(len(cuts), bool)
+        return np.unique(np.concatenate([cuts[~inside], first, behind[behind < len(raw)]]))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the bounds of each text in them; null is empty."""
         raw, bounds = text_buffer(texts)
@@ -99,7 +120,7 @@ class BatchEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
         if len(self.slots) > self.max_units:
             self._reset()
-        cuts = unit_starts(raw, bounds)
+        cuts = self._around_added(raw, bounds, unit_starts(raw, bounds))
         ends = np.append(cuts, len(raw)).astype(np.int32)
         coded = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(ends), pa.py_buffer(raw)]).dictionary_encode()
         units = coded.dictionary.to_pylist()
@@ -139,7 +160,7 @@ _encoders: dict[str, BatchEncoder] = {}
 
 
 def encoder(path: str) -> BatchEncoder:
-    """One encoder for each vocabulary file and Python worker."""
+    """One encoder for each vocabulary file and Python worker, as the library encodes by default."""
     if path not in _encoders:
-        _encoders[path] = BatchEncoder(path)
+        _encoders[path] = BatchEncoder(path, added=True)
     return _encoders[path]

@@ -152,3 +152,27 @@ def test_pack_covers_all_documents(docs, texts, odd_docs, no_docs, tokenizer):
     assert pack(no_docs, PATH, 0).collect() == []
     with pytest.raises(ValueError):
         pack(docs, PATH, 0, Limits(tokens=10, attention=50))
+
+
+# ---- added tokens ------------------------------------------------------------------------------------------------
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", " b", "'s", ".", "é", "\u3000", "7"]), max_size=12).map("".join), max_size=6))
+def test_added_tokens_are_the_librarys(some):
+    ids, bounds = tokens_of().encode(pa.array(some, pa.string()))
+    untouched = Tokenizer.from_file(PATH)
+    for i, t in enumerate(some):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == untouched.encode(t, add_special_tokens=False).ids
+
+
+def tokens_of():
+    from plotwise.llm.tokens import encoder
+
+    return encoder(PATH)
+
+
+def test_pieces_and_files_hold_added_tokens(spark):
+    docs = spark.createDataFrame([(1, "a<|endoftext|>b"), (2, "c")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in read_digests(spark, write_tokens(docs, PATH, end_id=2)).collect()}
+    assert (rows[1].n_tokens, rows[1].ids_crc32) == (4, zlib.crc32(np.array([64, 50256, 65, 2], "<u4").tobytes()))
+    assert tokens_of().encode(pa.array(["a<|endoftext|>b"]))[0].tolist() == [64, 50256, 65]
