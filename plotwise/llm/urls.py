@@ -39,6 +39,9 @@ WANTED = (
     "free library, track record, win together, cheap flights, video lessons, online course, games review, chat support, mail service, fast trains, hot springs, farm shop"
 ).split(", ")
 
+#: Labels under which countries register names (co.uk, com.au, ...).
+SECOND_LEVELS = frozenset("ac co com edu gob gouv gov ltd me mil ne net nhs nom or org plc sch".split())
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -130,10 +133,19 @@ class Segmenter:
         return out
 
 
-def tokens(segmenter: Segmenter, host: str, path: str) -> list[str]:
-    """Marked words: the host's name (without its last label and, of three or more, the registered one's), and the path's."""
+def name_labels(host: str) -> list[str]:
+    """All labels of a host but its public suffix (the last label, and a known second level before a country's); an only label stays, and an IPv4 address is whole. Port and user are left out."""
+    host = host.rpartition("@")[2].partition(":")[0]
     labels = [x for x in host.split(".") if x]
-    name = labels[:-2] if len(labels) > 2 else labels[:-1] or labels
+    if len(labels) == 4 and all(x.isdecimal() for x in labels):
+        return labels
+    second = len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in SECOND_LEVELS
+    return labels[: -2 if second else -1] or labels
+
+
+def tokens(segmenter: Segmenter, host: str, path: str) -> list[str]:
+    """Marked words: the host's name (its labels without the public suffix), and the path's."""
+    name = name_labels(host)
     return ["h:" + w for x in name for w in segmenter.words(x)] + ["p:" + w for w in segmenter.words(path)]
 
 

@@ -229,3 +229,12 @@ def test_names_are_split_and_judged(spark):
     rows = {r.host.split(".")[1]: r for r in urls.judge(pages, urls.fit(pages, WORDS)).collect()}
     assert {h for h, r in rows.items() if r.verdict == "block"} == {"onlinecasinobonus", "cheappills", "freebets"}
     assert "h:city h:library" in rows["citylibrary"].words and "h:cheap h:pills" in rows["cheappills"].words
+
+
+def test_registered_names_are_judged(spark):
+    hosts = ["www.onlinecasino.com", "m.cheappills.net", "onlinecasino.co.uk", "www.freebets.com.au:8080", "www.citylibrary.org", "m.sciencejournal.co.uk"] + [f"www.house{w}.com" for w in ("red", "blue", "tree", "lake")]
+    pages = spark.createDataFrame([(i, f"https://{h}/a/{i}") for i, h in enumerate(hosts)], "page_id long, url string")
+    rows = {r.host: r for r in urls.judge(pages, urls.fit(pages, WORDS), rules=()).collect()}
+    assert {h for h, r in rows.items() if r.verdict == "block"} == set(hosts[:4])
+    assert "h:online h:casino" in rows["www.onlinecasino.com"].words and "h:cheap h:pills" in rows["m.cheappills.net"].words
+    assert urls.name_labels("shop.name.co.uk") == ["shop", "name"] and urls.name_labels("name.com") == ["name"] and urls.name_labels("localhost") == ["localhost"]
