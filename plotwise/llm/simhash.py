@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm.alike import labelled
+from plotwise.llm.alike import labelled, set_name
 from plotwise.llm.common import LOWER, chunks, ragged, stored
 from plotwise.llm.components import components
 
@@ -323,16 +323,16 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
 
     def named(batches):
         for batch in chunks(batches, "text"):
-            found = [xxhash.xxh64_intdigest(hashed(t).tobytes(), 42) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.array(found, np.uint64).view(np.int64))], [*batch.schema.names, "fingerprint"])
+            found = [set_name(hashed(t)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.int64())], ["doc_id", "text_hash", "fingerprint"])
 
-    texts = _picked(docs, id_col, text_col).mapInArrow(named, "doc_id long, text_hash long, text string, fingerprint long")
-    prints = stored(texts.drop("text"), "sets")
+    texts = _picked(docs, id_col, text_col)
+    prints = stored(texts.mapInArrow(named, "doc_id long, text_hash long, fingerprint long"), "sets")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
     first = stored(first.select("fingerprint", "first.*"), "sets-distinct")
     ids = F.coalesce("doc_id", F.lit(-1)).alias("doc_id")
-    picked = _picked(docs, id_col, text_col).select(ids, "text_hash", "text")
+    picked = texts.select(ids, "text_hash", "text")
     labels = labelled(texts, hashed, similarity, lambda links: _similar(links, picked, first.select(ids, "text_hash", "fingerprint"), words, similarity))
     grouped = first.join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
     kept = stored(grouped.groupBy("label").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.text_hash"), "simhash-kept")
