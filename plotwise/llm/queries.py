@@ -131,3 +131,34 @@ def url_verdicts(spark: SparkSession, root: str) -> DataFrame:
 
     pages = table(spark, root, "pages")
     return judge(pages, fit(pages, WORD_BPE))
+
+
+def _license_sql() -> str:
+    """The same votes from runs of words themselves: templates as rows, diagonals, bands, covered words."""
+    from plotwise.llm.licenses import NOTICES, PHRASES, RUN
+
+    rows = ", ".join(f"({i}, '{t.label}', {t.share}, {t.drift}, {str(t.base).lower()}, '{t.text}')" for i, t in enumerate(PHRASES + NOTICES))
+    letters = f"translate(text, '{_CAPITALS}', '{_SMALL_LETTERS}')"
+    return f"""
+WITH templates(template, label, share, drift, base, text) AS (VALUES {rows}),
+wanted AS (SELECT template, label, share, drift, base, regexp_extract_all({letters}, '[a-z0-9\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM templates),
+grams AS (SELECT template, label, share, drift, base, len(w) AS size, unnest(range(len(w) - {RUN - 1})) AS t, unnest(list_transform(range(1, len(w) - {RUN - 2}), lambda i: w[i : i + {RUN - 1}])) AS run FROM wanted),
+docs AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+doc_runs AS (SELECT doc_id, unnest(range(len(w) - {RUN - 1})) AS p, unnest(list_transform(range(1, len(w) - {RUN - 2}), lambda i: w[i : i + {RUN - 1}])) AS run FROM docs WHERE len(w) >= {RUN}),
+votes AS (SELECT doc_id, template, label, share, drift, base, size, t, p - t AS diagonal FROM doc_runs JOIN grams USING (run)),
+banded AS (SELECT *, unnest(CASE WHEN drift > 0 THEN [CAST(floor(diagonal / (2 * drift)) AS BIGINT) * 2, CAST(floor((diagonal + drift) / (2 * drift)) AS BIGINT) * 2 + 1] ELSE [diagonal] END) AS band FROM votes),
+met AS (SELECT doc_id, template, label, share, base, size, band, MIN(diagonal + t) AS first_word,
+ len(list_distinct(flatten(list(range(t, t + {RUN}))))) / CAST(size AS DOUBLE) AS covered FROM banded GROUP BY ALL),
+found AS (SELECT doc_id, label, base, first_word, covered, covered >= share AS found FROM met),
+by_doc AS (SELECT doc_id, COUNT(*) FILTER (found AND base) AS n_base, MIN(first_word) FILTER (found AND base) AS first_word, MAX(first_word) FILTER (found AND base) AS last_word,
+ string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found AND base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found) AS labels, MAX(covered) AS score FROM found GROUP BY doc_id)
+SELECT doc_id, COALESCE(len(w), 0) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, COALESCE(score, 0) AS score
+FROM docs LEFT JOIN by_doc USING (doc_id)
+"""
+
+
+@query("op13_license_spans", _license_sql())
+def license_spans(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.licenses import scan
+
+    return scan(table(spark, root, "documents"))
