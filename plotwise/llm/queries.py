@@ -148,7 +148,7 @@ doc_runs AS (SELECT doc_id, unnest(range(len(w) - {RUN - 1})) AS p, unnest(list_
 votes AS (SELECT doc_id, template, label, share, drift, base, size, t, p - t AS diagonal FROM doc_runs JOIN grams USING (run)),
 banded AS (SELECT *, unnest(CASE WHEN drift > 0 THEN [CAST(floor(diagonal / (2 * drift)) AS BIGINT) * 2, CAST(floor((diagonal + drift) / (2 * drift)) AS BIGINT) * 2 + 1] ELSE [diagonal] END) AS band FROM votes),
 met AS (SELECT doc_id, template, label, share, base, size, band, MIN(diagonal + t) AS first_word,
- len(list_distinct(flatten(list(range(t, t + {RUN}))))) / CAST(size AS DOUBLE) AS covered FROM banded GROUP BY ALL),
+ len(list_distinct(flatten(list(range(t, t + {RUN}))))) / CAST(size AS DOUBLE) AS covered FROM banded GROUP BY doc_id, template, label, share, base, size, band),
 found AS (SELECT doc_id, label, base, first_word, covered, covered >= share AS found FROM met),
 by_doc AS (SELECT doc_id, COUNT(*) FILTER (found AND base) AS n_base, MIN(first_word) FILTER (found AND base) AS first_word, MAX(first_word) FILTER (found AND base) AS last_word,
  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found AND base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (found) AS labels, MAX(covered) AS score FROM found GROUP BY doc_id)
@@ -162,3 +162,37 @@ def license_spans(spark: SparkSession, root: str) -> DataFrame:
     from plotwise.llm.licenses import scan
 
     return scan(table(spark, root, "documents"))
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Assignments and means of each round as tables of their own; doubles hold these integers exactly."""
+
+    def nearest(books: str) -> str:
+        return f"""SELECT vec_id, label, p, x, MIN([xx - 2 * list_inner_product(x, y) + yy, e]) AS best
+ FROM points JOIN (SELECT p, e, y, list_inner_product(y, y) AS yy FROM {books}) USING (p) GROUP BY vec_id, label, p, x"""
+
+    steps = [
+        "kept AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"points AS MATERIALIZED (SELECT *, list_inner_product(x, x) AS xx FROM (SELECT vec_id, label, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x FROM kept CROSS JOIN range({parts}) r(p)))",
+        f"books0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS y FROM points QUALIFY e < {entries})",
+    ]
+    for r in range(rounds):
+        steps.append(f"near{r} AS MATERIALIZED ({nearest(f'books{r}')})")
+        steps.append(f"""means{r} AS (SELECT p, e, list(floor(s / n) ORDER BY i) AS y FROM
+ (SELECT p, e, i, SUM(c) AS s, COUNT(*) AS n FROM (SELECT p, best[2] AS e, unnest(x) AS c, unnest(range(len(x))) AS i FROM near{r}) GROUP BY p, e, i) GROUP BY p, e)""")
+        steps.append(f"books{r + 1} AS MATERIALIZED (SELECT p, b.e, COALESCE(m.y, b.y) AS y FROM books{r} b LEFT JOIN means{r} m USING (p, e))")
+    last = f"books{rounds}"
+    steps.append(f"coded AS (SELECT vec_id, label, string_agg(printf('%02x', CAST(best[2] AS BIGINT)), '' ORDER BY p) AS code, CAST(SUM(best[1]) AS BIGINT) AS error FROM ({nearest(last)}) GROUP BY vec_id, label)")
+    joined = ",\n".join(steps)
+    return f"""
+WITH {joined}
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+ (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) FROM (SELECT p, e, unnest(y) AS c, unnest(range(len(y))) AS i FROM {last})) AS codebooks_sha256 FROM coded
+"""
+
+
+@query("op12_vector_codes", _codes_sql())
+def vector_codes(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.codebooks import compress
+
+    return compress(table(spark, root, "embeddings")).drop("label")
