@@ -196,3 +196,19 @@ def vector_codes(spark: SparkSession, root: str) -> DataFrame:
     from plotwise.llm.codebooks import compress
 
     return compress(table(spark, root, "embeddings")).drop("label")
+
+
+@query("op11_ranked_search", f"""
+WITH docs AS (SELECT * FROM (SELECT doc_id, {_WORDS_SQL} AS w FROM documents) WHERE len(w) > 0),
+totals AS (SELECT COUNT(*) AS n_docs, CAST(SUM(len(w)) AS BIGINT) AS n_terms FROM docs),
+asked AS (SELECT item_id, term, COUNT(*) AS k FROM (SELECT item_id, unnest({_WORDS_SQL}) AS term FROM benchmark) GROUP BY item_id, term),
+tf AS (SELECT doc_id, n, term, COUNT(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, n, term),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * COUNT(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf CROSS JOIN totals GROUP BY term, n_docs),
+parts AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS part FROM tf JOIN weights USING (term) CROSS JOIN totals),
+scores AS (SELECT item_id, doc_id, CAST(SUM(k * part) AS BIGINT) AS score FROM asked JOIN parts USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scores WHERE score > 0 QUALIFY rank <= 20
+""")
+def ranked_search(spark: SparkSession, root: str) -> DataFrame:
+    from plotwise.llm.lexical import rank
+
+    return rank(table(spark, root, "documents"), table(spark, root, "benchmark"))
