@@ -228,7 +228,7 @@ SELECT pin, stop_id, ROUND(SQRT(d2), 4) AS dist FROM (SELECT pin, stop_id, d2, R
 FROM (SELECT p.pin, s.stop_id, (p.x - s.x) * (p.x - s.x) + (p.y - s.y) * (p.y - s.y) AS d2 FROM parcel_point p JOIN stop_point s ON p.year = s.year)) WHERE r = 1""")
 def nearest(t):
     stops = spatial.point_segments(t.stop_point).drop("x", "y")
-    out = spatial.nearest(t.parcel_point, stops, ["stop_id"], 400.0, ["year"])
+    out = spatial.nearest(t.parcel_point, stops, ["stop_id"], ["year"])
     return out.select("pin", "stop_id", F.round("dist", 4).alias("dist"))
 
 

@@ -61,13 +61,13 @@ SELECT pin, {cols}ROUND(SQRT(MIN(d2)), 4) AS dist FROM d GROUP BY pin"""
 @query("g06_nearest_line", ROAD_DIST.format(cols=""))
 def nearest_line(t):
     lines = t.road.select("road_id", "x1", "y1", "x2", "y2")
-    return spatial.nearest(t.parcel_point, lines, ["road_id"], 100.0).select("pin", F.round("dist", 4).alias("dist"))
+    return spatial.nearest(t.parcel_point, lines, ["road_id"]).select("pin", F.round("dist", 4).alias("dist"))
 
 
 @query("g07_nearest_feature", ROAD_DIST.format(cols="arg_min(road_name, (CAST(d2 AS DOUBLE), road_name)) AS road_name, "))
 def nearest_feature(t):
     lines = t.road.select("road_name", "x1", "y1", "x2", "y2")
-    out = spatial.nearest(t.parcel_point, lines, ["road_name"], 100.0)
+    out = spatial.nearest(t.parcel_point, lines, ["road_name"])
     return out.select("pin", "road_name", F.round("dist", 4).alias("dist"))
 
 
@@ -76,7 +76,7 @@ SELECT pin, ROUND(MIN(SQRT(GREATEST(x0 - x, x - x1, 0) * GREATEST(x0 - x, x - x1
 FROM parcel_point CROSS JOIN (SELECT * FROM zone WHERE zone_id % 6 = 1) GROUP BY pin""")
 def nearest_area(t):
     some = zones(t).where("zone_id % 6 = 1")
-    out = spatial.nearest_area(t.parcel_point, some, ["zone_id"], 500.0, 500.0)
+    out = spatial.nearest_area(t.parcel_point, some, ["zone_id"], 500.0)
     return out.select("pin", F.round("dist", 6).alias("dist"))
 
 
@@ -213,7 +213,7 @@ d AS (SELECT a.pin, b.v, ROW_NUMBER() OVER (PARTITION BY a.pin ORDER BY (a.x - b
 SELECT pin, v FROM b WHERE v IS NOT NULL UNION ALL SELECT pin, v FROM d WHERE r = 1""")
 def nearest_fill(t):
     rows = t.parcel_point.withColumn("v", F.when(F.col("pin") % 4 != 0, (F.col("pin") % 10).cast("double")))
-    return filling.nearest_fill(rows, "pin", ["v"], 200.0).select("pin", "v")
+    return filling.nearest_fill(rows, "pin", ["v"]).select("pin", "v")
 
 
 @query("e20_touching_mean", """

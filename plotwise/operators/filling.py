@@ -20,13 +20,13 @@ def most_complete(df: DataFrame, keys: list[str], cols: list[str], weights: list
     return top_with_ties(scored, keys, [F.col("_known").desc()], 1, rank="_rank").drop("_known", "_rank")
 
 
-def nearest_fill(df: DataFrame, id_col: str, cols: list[str], first_radius: float, x: str = "x", y: str = "y") -> DataFrame:
+def nearest_fill(df: DataFrame, id_col: str, cols: list[str], x: str = "x", y: str = "y") -> DataFrame:
     """Fill missing values from the nearest row that has them all; the lowest id wins ties."""
     full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
     donors = df.where(full)
     spots = df.where(~full).select(x, y).distinct()
     places = point_segments(donors.select(F.col(id_col).alias("_donor"), x, y), x, y).drop(x, y)
-    found = nearest(spots, places, ["_donor"], first_radius, (), x, y).drop("dist")
+    found = nearest(spots, places, ["_donor"], (), x, y).drop("dist")
     given = donors.select(F.col(id_col).alias("_donor"), *[F.col(c).alias(f"_d_{c}") for c in cols])
     values = found.join(given, "_donor").drop("_donor")
     joined = df.join(values, [x, y], "left")

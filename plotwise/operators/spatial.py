@@ -1,21 +1,20 @@
-"""Spatial joins on square grid cells.
+"""Spatial joins: "inside" by square grid cells, "near" by packed box trees.
 
-Each join turns "near" or "inside" into equality on a cell, which Spark can hash, broadcast (if the side is
-under its size limit) or split when one cell is hot. Exact geometry is then tested on the candidates.
-Searches widen step by step, so that crowded places are settled on small cells and only the rest goes on.
+Both turn geometry into equality on a key, which Spark can hash, broadcast (if the side is under its size limit) or
+split when a key is hot. Exact geometry is then tested on the candidates.
 """
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotwise.functions import geometry as geo
+from plotwise.operators import packed
 from plotwise.operators.ordered import dedup_by_priority
-from plotwise.session import settle
+from plotwise.session import stored
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -30,11 +29,6 @@ def with_cell(df: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFra
     return df.withColumns({"_cx": _cell(F.col(x), size), "_cy": _cell(F.col(y), size)})
 
 
-def _explode_box(df: DataFrame, x0: Column, x1: Column, y0: Column, y1: Column, size: float) -> DataFrame:
-    wide = df.withColumn("_cx", F.explode(_cells_between(x0, x1, size)))
-    return wide.withColumn("_cy", F.explode(_cells_between(y0, y1, size)))
-
-
 def polygon_cells(polygons: DataFrame, size: float, keep: list[str], rings: str = "rings") -> DataFrame:
     """Polygon × cell rows that carry only the edges a ray from inside that cell can meet.
 
@@ -98,33 +92,15 @@ def within_radius(
     y: str = "y",
 ) -> DataFrame:
     """Rows of ``a`` with each row of ``b`` at most ``radius`` away; ``keep`` renames columns of ``b``."""
-    near = F.lit(float(radius))
-    right = _explode_box(
-        b.select(
-            *[F.col(k).alias(k) for k in by],
-            F.col(x).alias("_bx"),
-            F.col(y).alias("_by"),
-            *[F.col(c).alias(n) for c, n in keep.items()],
-        ),
-        F.col("_bx") - near, F.col("_bx") + near, F.col("_by") - near, F.col("_by") + near, radius,
-    )
+    place = [x, y, *by]
+    spots = a.select(*place).distinct().withColumns(packed.point_box(x, y))
+    others = b.select(*by, F.col(x).alias("_bx"), F.col(y).alias("_by"), *[F.col(c).alias(n) for c, n in keep.items()])
+    near, far = packed.pack(spots, others.withColumns(packed.point_box("_bx", "_by")), by)
+    columns = {c: c for c in ("_bx", "_by", *keep.values())}
+    met = packed.candidates(near, far, packed.keep_within(radius), place, x, y, columns)
     d2 = geo.distance2(F.col(x), F.col(y), F.col("_bx"), F.col("_by"))
-    pairs = with_cell(a, radius, x, y).join(right, ["_cx", "_cy", *by])
-    return pairs.where(d2 <= near * near).withColumn("dist", F.sqrt(d2)).drop("_cx", "_cy", "_bx", "_by")
-
-
-def _ring_offsets(splits: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Cell offsets that lie wholly within ``splits`` cell widths, and those that may do so in part."""
-    full, partial = [], []
-    for dx in range(-splits - 1, splits + 2):
-        for dy in range(-splits - 1, splits + 2):
-            far = math.hypot(abs(dx) + 1, abs(dy) + 1)
-            close = math.hypot(max(abs(dx) - 1, 0), max(abs(dy) - 1, 0))
-            if far < splits:
-                full.append((dx, dy))
-            elif close <= splits:
-                partial.append((dx, dy))
-    return full, partial
+    pairs = met.where(d2 <= F.lit(float(radius)) * F.lit(float(radius))).withColumn("dist", F.sqrt(d2))
+    return a.join(pairs.select(*place, *keep.values(), "dist"), place)
 
 
 def count_within_radius(
@@ -135,80 +111,36 @@ def count_within_radius(
     by: list[str] = (),
     x: str = "x",
     y: str = "y",
-    splits: int = 4,
 ) -> DataFrame:
     """Sums over everything of ``b`` within ``radius`` of each row of ``a``, without listing crowded pairs.
 
-    ``b`` is summed per coordinate and per cell. Cells that lie wholly inside the circle add their sum;
-    only cells that the circle cuts are compared point by point. ``measures`` names per-row values to add.
+    ``b`` is summed per coordinate. Nodes of its tree that lie wholly inside the circles of a node of ``a`` add their
+    sum; only leaves that a circle cuts are compared point by point. ``measures`` names per-row values to add.
     """
-    size = radius / splits
-    full, partial = _ring_offsets(splits)
     names = list(measures)
-    spots = a.select(x, y, *by).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
-    located = b.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
-        *by, F.col(x).alias("_bx"), F.col(y).alias("_by"), *[c.alias(n) for n, c in measures.items()]
-    )
-    stacked = located.groupBy(*by, "_bx", "_by").agg(*[F.sum(n).alias(n) for n in names])
-    right = stacked.withColumns({"_cx": _cell(F.col("_bx"), size), "_cy": _cell(F.col("_by"), size)})
-
-    def reach(offsets):
-        return F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in offsets]))
-
-    def shifted(df: DataFrame, offsets) -> DataFrame:
-        moved = df.withColumn("_o", reach(offsets))
-        return moved.withColumns(
-            {"_cx": (F.col("_cx") + F.col("_o.dx")).cast("long"), "_cy": (F.col("_cy") + F.col("_o.dy")).cast("long")}
-        ).drop("_o")
-
     place = [x, y, *by]
-    cells = right.groupBy(*by, "_cx", "_cy").agg(*[F.sum(n).alias(n) for n in names])
-    home = with_cell(spots, size, x, y)
-    origin = home.select(*by, "_cx", "_cy").distinct().withColumns({"_hx": F.col("_cx"), "_hy": F.col("_cy")})
-    block = (
-        shifted(origin, full)
-        .join(cells, ["_cx", "_cy", *by])
-        .groupBy("_hx", "_hy", *by)
-        .agg(*[F.sum(n).alias(f"_full_{n}") for n in names])
+    spots = a.select(*place).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
+    located = b.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        *by, F.col(x).alias("_bx"), F.col(y).alias("_by"), *[c.alias(f"_m_{n}") for n, c in measures.items()]
     )
-    d2 = geo.distance2(F.col(x), F.col(y), F.col("_bx"), F.col("_by"))
-    edge = (
-        shifted(home, partial)
-        .join(right, ["_cx", "_cy", *by])
-        .where(d2 <= float(radius) * float(radius))
-        .groupBy(*place)
-        .agg(*[F.sum(n).alias(f"_edge_{n}") for n in names])
+    stacked = located.groupBy(*by, "_bx", "_by").agg(*[F.sum(f"_m_{n}").alias(f"_m_{n}") for n in names])
+    sums = {n: F.col(f"_m_{n}") for n in names}
+    kinds = dict(stacked.agg(*[F.sum(c).alias(n) for n, c in sums.items()]).dtypes)
+    near, far = packed.pack(spots.withColumns(packed.point_box(x, y)), stacked.withColumns(packed.point_box("_bx", "_by")), by, sums)
+    carry = {f"_sum_{n}": F.lit(0).cast(kinds[n]) for n in names}
+    columns = {c: c for c in ("_bx", "_by", *[f"_m_{n}" for n in names])}
+    met = packed.candidates(near, far, packed.add_within(radius, names), place, x, y, columns, carry)
+    close = geo.distance2(F.col(x), F.col(y), F.col("_bx"), F.col("_by")) <= float(radius) * float(radius)
+    totals = met.groupBy(*place).agg(
+        *[(F.max(f"_sum_{n}") + F.coalesce(F.sum(F.when(close, F.col(f"_m_{n}"))), F.lit(0))).cast(kinds[n]).alias(n) for n in names]
     )
-    out = home.withColumnsRenamed({"_cx": "_hx", "_cy": "_hy"})
-    out = out.join(block, ["_hx", "_hy", *by], "left").join(edge, place, "left")
-    zero = {n: F.coalesce(f"_full_{n}", F.lit(0)) + F.coalesce(f"_edge_{n}", F.lit(0)) for n in names}
-    totals = out.withColumns(zero).select(*place, *names)
     return a.join(totals, place, "left")
 
 
-def _bounds(frames: list[tuple[DataFrame, str, str]]) -> float:
-    """Diagonal of the box around all points: one small aggregate per frame."""
-    boxes = [f.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first() for f, x, y in frames]
-    known = [b for b in boxes if b[0] is not None]
-    if not known:
-        return 0.0
-    width = max(b[1] for b in known) - min(b[0] for b in known)
-    height = max(b[3] for b in known) - min(b[2] for b in known)
-    return math.hypot(width, height)
-
-
-def _radii(first: float, last: float, factor: float = 4.0) -> list[float]:
-    radii = [float(first)]
-    while radii[-1] < last:
-        radii.append(min(radii[-1] * factor, float(last)))
-    return radii
-
-
 def nearest(
     points: DataFrame,
     segments: DataFrame,
     feature: list[str],
-    first_radius: float,
     by: list[str] = (),
     x: str = "x",
     y: str = "y",
@@ -216,41 +148,20 @@ def nearest(
 ) -> DataFrame:
     """The nearest feature of each point, the lowest ``feature`` columns winning ties.
 
-    ``segments`` has one row per edge (x1, y1, x2, y2; a point feature repeats its coordinate), the
-    ``feature`` columns and the ``by`` keys. The radius grows until every point of a populated ``by`` group
-    has an answer; the last radius spans all data, so no point is left out.
+    ``segments`` has one row per edge (x1, y1, x2, y2; a point feature repeats its coordinate), the ``feature`` columns
+    and the ``by`` keys. Every point of a populated ``by`` group has an answer, however far away; the rest get nulls.
     """
     place = [x, y, *by]
-    ends = segments.where(F.col("x1").isNotNull())
-    open_points = points.select(*place).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
-    if by:
-        open_points = open_points.join(ends.select(*by).distinct(), list(by), "left_semi")
-    reach = _bounds([(open_points, x, y), (ends, "x1", "y1"), (ends, "x2", "y2")])
-    answers = []
-    radii = _radii(first_radius, reach)
-    for number, radius in enumerate(radii):
-        r = float(radius)
-        cells = _explode_box(
-            ends,
-            F.least("x1", "x2") - r, F.greatest("x1", "x2") + r,
-            F.least("y1", "y2") - r, F.greatest("y1", "y2") + r, r,
-        )
-        d2 = geo.point_segment_distance2(F.col(x), F.col(y), tuple(F.col(c) for c in ("x1", "y1", "x2", "y2")))
-        pairs = with_cell(open_points, r, x, y).join(cells, ["_cx", "_cy", *by]).withColumn("_d2", d2)
-        best = (
-            pairs.where(F.col("_d2") <= r * r)
-            .groupBy(*place)
-            .agg(F.min(F.struct("_d2", *feature)).alias("_best"))
-            .select(*place, F.sqrt("_best._d2").alias(distance), *[F.col(f"_best.{f}").alias(f) for f in feature])
-        )
-        found = settle(best)
-        answers.append(found)
-        if number + 1 == len(radii):
-            break
-        open_points = settle(open_points.join(found, place, "left_anti"))
-        if open_points.isEmpty():
-            break
-    return points.join(reduce(DataFrame.unionByName, answers), place, "left")
+    spots = points.select(*place).distinct().withColumns(packed.point_box(x, y))
+    ends = ["x1", "y1", "x2", "y2"]
+    lines = segments.select(*by, *ends, *[F.col(f).alias(f"_f_{f}") for f in feature]).withColumns(packed.segment_box())
+    near, far = packed.pack(spots, lines, by)
+    columns = {c: f"_{c}" for c in ends} | {f"_f_{f}": f"_f_{f}" for f in feature}
+    met = packed.candidates(near, far, packed.keep_nearest, place, x, y, columns).where(F.col("_met"))
+    d2 = geo.point_segment_distance2(F.col(x), F.col(y), tuple(F.col(f"_{c}") for c in ends))
+    best = met.groupBy(*place).agg(F.min(F.struct(d2.alias("d2"), *[f"_f_{f}" for f in feature])).alias("_best"))
+    answers = best.select(*place, F.sqrt("_best.d2").alias(distance), *[F.col(f"_best._f_{f}").alias(f) for f in feature])
+    return points.join(answers, place, "left")
 
 
 def point_segments(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
@@ -267,7 +178,6 @@ def nearest_area(
     points: DataFrame,
     polygons: DataFrame,
     feature: list[str],
-    first_radius: float,
     size: float,
     by: list[str] = (),
     x: str = "x",
@@ -278,9 +188,9 @@ def nearest_area(
     held = points_in_polygons(points.select(*place).distinct(), polygons, feature, size, "inner", by, x, y)
     held = held.groupBy(*place).agg(F.min(F.struct(*feature)).alias("_f"))
     inside = held.select(*place, F.lit(0.0).alias("dist"), *[F.col(f"_f.{f}").alias(f) for f in feature])
-    inside = settle(inside)
+    inside = stored(inside, "inside")
     rest = points.select(*place).distinct().join(inside, place, "left_anti")
-    outside = nearest(rest, ring_segments(polygons, [*by, *feature]), feature, first_radius, by, x, y)
+    outside = nearest(rest, ring_segments(polygons, [*by, *feature]), feature, by, x, y)
     return points.join(inside.unionByName(outside.select(*inside.columns)), place, "left")
 
 
@@ -293,66 +203,37 @@ def knn(
     by: list[str] = (),
     x: str = "x",
     y: str = "y",
-    steps: int = 3,
     need_all: bool = False,
 ) -> DataFrame:
     """Up to ``k`` nearest rows of ``b`` within ``radius`` for each row of ``a``: (id, by, neighbour, dist, rank).
 
-    Neighbours that share x or y with the row are left out, as are the row's own copies. Distance ties go to
-    the lower id. ``b`` is first cut to ``k`` ids per coordinate, which loses nothing, and small radii are tried
-    first: a place with ``k`` neighbours there is settled.
+    Neighbours that share x or y with the row are left out, as are the row's own copies. Distance ties go to the lower
+    id. ``b`` is first cut to ``k`` ids per coordinate, which loses nothing. With ``need_all`` rows with fewer than
+    ``k`` neighbours are left out.
     """
     place = [x, y, *by]
-    spots = a.select(*place).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
-    lean = dedup_by_priority(b.select(id_col, *place), place, [F.col(id_col)], k).withColumnRenamed(
-        id_col, "neighbour"
-    )
-    lean = lean.withColumns({"_bx": F.col(x), "_by": F.col(y)}).drop(x, y)
-    waiting = spots
-    found = []
-    radii = [radius / 4**i for i in range(steps - 1, -1, -1)]
-    for number, r in enumerate(radii):
-        near = F.lit(float(r))
-        right = _explode_box(
-            lean, F.col("_bx") - near, F.col("_bx") + near, F.col("_by") - near, F.col("_by") + near, r
-        )
-        d2 = geo.distance2(F.col(x), F.col(y), F.col("_bx"), F.col("_by"))
-        pairs = (
-            with_cell(waiting, r, x, y)
-            .join(right, ["_cx", "_cy", *by])
-            .where((d2 <= near * near) & (F.col("_bx") != F.col(x)) & (F.col("_by") != F.col(y)))
-            .select(*place, "neighbour", F.sqrt(d2).alias("dist"))
-        )
-        ranked = dedup_by_priority(pairs, place, [F.col("dist"), F.col("neighbour")], k, rank="rank")
-        last = number + 1 == len(radii)
-        step = settle(ranked)
-        if last:
-            found.append(step)
-            break
-        done = step.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k).drop("_n")
-        found.append(step.join(done, place, "left_semi"))
-        waiting = settle(waiting.join(done, place, "left_anti"))
-        if waiting.isEmpty():
-            break
-    hits = reduce(DataFrame.unionByName, found)
+    spots = a.select(*place).distinct().withColumns(packed.point_box(x, y))
+    located = b.select(F.col(id_col).alias("_neighbour"), *place).where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    lean = dedup_by_priority(located, place, [F.col("_neighbour")], k).select("_neighbour", *by, F.col(x).alias("_bx"), F.col(y).alias("_by"))
+    near, far = packed.pack(spots, lean.withColumns(packed.point_box("_bx", "_by")), by, {"n": F.lit(1).cast("long")})
+    met = packed.candidates(near, far, packed.keep_k_nearest(k, radius), place, x, y, {"_neighbour": "neighbour", "_bx": "_bx", "_by": "_by"})
+    d2 = geo.distance2(F.col(x), F.col(y), F.col("_bx"), F.col("_by"))
+    pairs = met.where((d2 <= float(radius) * float(radius)) & (F.col("_bx") != F.col(x)) & (F.col("_by") != F.col(y)))
+    pairs = pairs.select(*place, "neighbour", F.sqrt(d2).alias("dist"))
+    hits = dedup_by_priority(pairs, place, [F.col("dist"), F.col("neighbour")], k, rank="rank")
     if need_all:
-        full = hits.where(F.col("rank") == k).select(*place)
-        hits = hits.join(full, place, "left_semi")
+        hits = hits.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*place))).where(F.col("_n") == k).drop("_n")
     return a.select(id_col, *place).join(hits, place).select(id_col, *by, "neighbour", "dist", "rank")
 
 
 def knn_escalating(
     a: DataFrame, b: DataFrame, id_col: str, k: int, radii: list[float], by: list[str] = (), x: str = "x", y: str = "y"
 ) -> DataFrame:
-    """kNN that needs all ``k`` neighbours, with the next radius tried only for rows still without them."""
-    waiting, found = a, []
-    for radius in radii:
-        step = settle(knn(waiting, b, id_col, k, radius, by, x, y, steps=1, need_all=True))
-        found.append(step.withColumn("radius", F.lit(float(radius))))
-        waiting = settle(waiting.join(step, [id_col, *by], "left_anti"))
-        if waiting.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, found)
+    """kNN that needs all ``k`` neighbours, with the smallest of ``radii`` that holds them; rows without them in the largest are left out."""
+    hits = knn(a, b, id_col, k, max(radii), by, x, y, need_all=True)
+    last = F.max("dist").over(Window.partitionBy(id_col, *by))
+    reach = F.coalesce(*[F.when(last <= r, F.lit(float(r))) for r in sorted(radii)])
+    return hits.withColumn("radius", reach)
 
 
 def neighbours_wide(pairs: DataFrame, id_col: str, k: int, by: list[str] = ()) -> DataFrame:

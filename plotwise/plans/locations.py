@@ -237,7 +237,7 @@ def environment(w: Warehouse) -> DataFrame:
     walk = asof_years(contour, w.src("spatial.parcel"))
     spots = parcel_spots(w).join(walk, "year")
     shapes = with_rings(contour).select(F.col("year").alias("source_year"), "airport", "rings")
-    near = nearest_area(spots, shapes, ["airport"], w.settings.cell_ft, w.settings.cell_ft, ["source_year"], X, Y)
+    near = nearest_area(spots, shapes, ["airport"], w.settings.cell_ft, ["source_year"], X, Y)
     near = near.select(
         *SPOT, F.when(F.col("dist") == 0, True).alias("env_ohare_noise_contour_no_buffer_bool"),
         F.when(F.col("dist") <= 2640, True).alias("env_ohare_noise_contour_half_mile_buffer_bool"),

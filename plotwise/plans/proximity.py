@@ -129,10 +129,10 @@ def distance_to(w: Warehouse, name: str) -> DataFrame:
     shapes = shaped.select(F.col("year").alias("source_year"), *keep, *[c.alias(n) for n, c in named.items()])
     cell, features = w.settings.cell_ft, list(named)
     if target.kind == "area":
-        found = nearest_area(spots, shapes, features, cell, cell, ["source_year"], X, Y)
+        found = nearest_area(spots, shapes, features, cell, ["source_year"], X, Y)
     else:
         lines = point_segments(shapes).drop("x", "y") if target.kind == "point" else ring_segments(shapes, ["source_year", *features])
-        found = nearest(spots, lines, features, cell, ["source_year"], X, Y)
+        found = nearest(spots, lines, features, ["source_year"], X, Y)
     found = found.select(
         *SPOT, *columns, F.col("dist").alias(f"{stem}_dist_ft"), F.col("source_year").alias(f"{stem}_data_year")
     ).where(F.col(f"{stem}_dist_ft").isNotNull())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that driver and executors share (``spark.checkpoint.dir``)."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: later steps start from files, with pruned columns, not from lineage."""
+    path = shared_path(df.sparkSession, name)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder so that later steps start from stored rows."""
     ensure_checkpoint_dir(df.sparkSession)
