@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from plotwise.session import stored
 
 #: Rows of a leaf; bits of a node's number below its parent's.
-LEAF = 32
-FAN_BITS = 3
+LEAF = 16
+FAN_BITS = 4
 FAN = 1 << FAN_BITS
 BOX = ("x0", "x1", "y0", "y1")
+#: Levels below the root at which a search starts, with all far nodes there (at most FAN to this power) for each near one.
+TOP_LEVELS = 2
 #: Distances of boxes and of rows are rounded differently; pairs this near to a bound are kept.
 SLACK = 1e-9
 
@@ -93,62 +95,47 @@ def pack(near: DataFrame, far: DataFrame, by: list[str], sums: dict[str, Column]
     return sides[0], sides[1]
 
 
-def gap2(c: Column) -> Column:
-    """Squared least distance between the near node's box and a far node's."""
-    dx = F.greatest(c["x0"] - F.col("x1"), F.col("x0") - c["x1"], F.lit(0.0))
-    dy = F.greatest(c["y0"] - F.col("y1"), F.col("y0") - c["y1"], F.lit(0.0))
-    return dx * dx + dy * dy
+# Of a near node's box (x0, x1, y0, y1) and a far node c: the squared least distance, and the squared way between the far
+# corners, beyond which no two of their points lie. SQL text, as it is built once for each level of a search.
+_DX, _DY = "greatest(c.x0 - x1, x0 - c.x1, 0D)", "greatest(c.y0 - y1, y0 - c.y1, 0D)"
+_WX, _WY = "greatest(c.x1 - x0, x1 - c.x0)", "greatest(c.y1 - y0, y1 - c.y0)"
+GAP2, SPAN2 = f"({_DX} * {_DX} + {_DY} * {_DY})", f"({_WX} * {_WX} + {_WY} * {_WY})"
 
-
-def span2(c: Column) -> Column:
-    """Squared way between the far corners of the two boxes: no two of their points lie farther apart."""
-    dx = F.greatest(c["x1"] - F.col("x0"), F.col("x1") - c["x0"])
-    dy = F.greatest(c["y1"] - F.col("y0"), F.col("y1") - c["y0"])
-    return dx * dx + dy * dy
+Prune = Callable[[DataFrame], DataFrame]
 
 
-Prune = Callable[[DataFrame], DataFrame]
+def _kept(bound: str) -> Column:
+    """The far nodes whose gap is within a bound. The bound is an array's element here, so that it is computed once for a row, not once for each node."""
+    return F.expr(f"transform(array({bound} * {1 + SLACK!r}D), b -> filter(_open, c -> {GAP2} <= b))[0]")
 
 
 def keep_nearest(state: DataFrame) -> DataFrame:
     """Far nodes that may hold the nearest row of some point of the near node."""
-    bound = state.withColumn("_bound", F.array_min(F.transform("_open", span2)))
-    return bound.withColumn("_open", F.filter("_open", lambda c: gap2(c) <= F.col("_bound") * (1 + SLACK))).drop("_bound")
+    return state.withColumn("_open", _kept(f"array_min(transform(_open, c -> {SPAN2}))"))
 
 
 def keep_k_nearest(k: int, radius: float) -> Prune:
     """Far nodes that may hold one of the ``k`` nearest rows that share neither x nor y; nodes carry ``n``, their rows."""
-
-    def prune(state: DataFrame) -> DataFrame:
-        apart = lambda c: ((c["x0"] > F.col("x1")) | (c["x1"] < F.col("x0"))) & ((c["y0"] > F.col("y1")) | (c["y1"] < F.col("y0")))
-        # rows that surely count, nearest corners first: the k-th of them bounds the k-th distance
-        sure = F.array_sort(F.transform("_open", lambda c: F.struct(span2(c).alias("d"), F.when(apart(c), c["n"]).otherwise(F.lit(0).cast("long")).alias("n"))))
-        start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(float(radius) ** 2).alias("d"))
-        found = F.aggregate(sure, start, lambda a, c: F.struct(
-            (a["n"] + c["n"]).alias("n"), F.when((a["n"] < k) & (a["n"] + c["n"] >= k), F.least(a["d"], c["d"])).otherwise(a["d"]).alias("d")))
-        bound = state.withColumn("_bound", found["d"])
-        return bound.withColumn("_open", F.filter("_open", lambda c: gap2(c) <= F.col("_bound") * (1 + SLACK))).drop("_bound")
-
-    return prune
+    apart = "(c.x0 > x1 OR c.x1 < x0) AND (c.y0 > y1 OR c.y1 < y0)"
+    # rows that surely count, nearest corners first: the k-th of them bounds the k-th distance
+    sure = f"array_sort(transform(_open, c -> struct({SPAN2} AS d, if({apart}, c.n, 0L) AS n)))"
+    step = f"struct(a.n + s.n AS n, if(a.n < {k} AND a.n + s.n >= {k}, least(a.d, s.d), a.d) AS d)"
+    bound = f"aggregate({sure}, struct(0L AS n, {float(radius) ** 2!r}D AS d), (a, s) -> {step}).d"
+    return lambda state: state.withColumn("_open", _kept(bound))
 
 
 def keep_within(radius: float) -> Prune:
-    return lambda state: state.withColumn("_open", F.filter("_open", lambda c: gap2(c) <= float(radius) ** 2 * (1 + SLACK)))
+    return lambda state: state.withColumn("_open", F.expr(f"filter(_open, c -> {GAP2} <= {float(radius) ** 2 * (1 + SLACK)!r}D)"))
 
 
 def add_within(radius: float, names: list[str]) -> Prune:
     """Nodes that lie wholly within the radius add their sums at once; those that may do so in part stay."""
-    r2 = float(radius) ** 2
+    whole = f"{SPAN2} <= {float(radius) ** 2 * (1 - SLACK)!r}D"
 
     def prune(state: DataFrame) -> DataFrame:
-        state = state.withColumn("_whole", F.filter("_open", lambda c: span2(c) <= r2 * (1 - SLACK)))
-        kinds = dict(state.select(*[f"_sum_{n}" for n in names]).dtypes)
-
-        def total(n: str) -> Column:
-            return F.aggregate("_whole", F.col(f"_sum_{n}"), lambda a, c: a + F.coalesce(c[n], F.lit(0).cast(kinds[f"_sum_{n}"])))
-
-        added = {f"_sum_{n}": total(n) for n in names}
-        left = F.filter("_open", lambda c: (span2(c) > r2 * (1 - SLACK)) & (gap2(c) <= r2 * (1 + SLACK)))
+        state = state.withColumn("_whole", F.expr(f"filter(_open, c -> {whole})"))
+        added = {f"_sum_{n}": F.expr(f"aggregate(_whole, _sum_{n}, (a, c) -> a + coalesce(c.{n}, a - a))") for n in names}
+        left = F.expr(f"filter(_open, c -> NOT ({whole}) AND {GAP2} <= {float(radius) ** 2 * (1 + SLACK)!r}D)")
         return state.withColumns(added).withColumn("_open", left).drop("_whole")
 
     return prune
@@ -167,17 +154,20 @@ def descend(near: Side, far: Side, prune: Prune, carry: dict[str, Column] | None
         rows = far.nodes(level)
         return rows.select(*by, F.col("_code").alias(name), *[F.col(c).alias(f"f_{c}") for c in (*BOX, *inner)])
 
-    # both roots have the code 0
-    roots = far_nodes(down, "_code").withColumn("_open", F.array(as_struct("_code"))).select(*by, "_code", "_open")
-    state = near.nodes(up).join(roots, [*by, "_code"], "left").withColumns({n: c for n, c in (carry or {}).items()})
-    state = prune(state.withColumn("_open", F.coalesce("_open", F.array().cast(dict(roots.dtypes)["_open"]))))
+    up, down = max(0, up - TOP_LEVELS), max(0, down - TOP_LEVELS)
+    # codes below 2^62 all give 0 here: with no ``by`` everything meets the one list of top nodes
+    every = F.shiftright("_code", 62).alias("_every")
+    tops = far_nodes(down, "_code").groupBy(*by, every).agg(F.collect_list(as_struct("_code")).alias("_open"))
+    state = near.nodes(up).withColumn("_every", every).join(tops, [*by, "_every"], "left").withColumns({n: c for n, c in (carry or {}).items()})
+    state = prune(state.withColumn("_open", F.coalesce("_open", F.array().cast(dict(tops.dtypes)["_open"]))).select(*held, "_open"))
     while up or down:
         if down:
             down -= 1
             kids = far_nodes(down, "_kid").withColumn("_parent", F.shiftright("_kid", FAN_BITS))
             opened = state.select(*held, F.explode_outer("_open").alias("_o")).select(*held, F.col("_o.code").alias("_parent"))
             met = opened.join(kids, [*by, "_parent"], "left")
-            state = prune(met.groupBy(*held).agg(F.collect_list(F.when(F.col("_kid").isNotNull(), as_struct("_kid"))).alias("_open")))
+            found = F.collect_list(F.when(F.col("_kid").isNotNull(), as_struct("_kid"))).alias("_open")
+            state = prune(met.groupBy(*by, "_code").agg(*[F.first(c).alias(c) for c in held if c not in (*by, "_code")], found))
         if up:
             up -= 1
             kids = near.nodes(up).withColumnRenamed("_code", "_kid").withColumn("_code", F.shiftright("_kid", FAN_BITS))
@@ -191,6 +181,9 @@ def candidates(near: Side, far: Side, prune: Prune, place: list[str], x: str, y:
     by = near.by
     leaves = descend(near, far, prune, carry).drop(*BOX)
     points = near.rows.select(*place, "_code").join(leaves, [*by, "_code"]).withColumns({"x0": F.col(x), "x1": F.col(x), "y0": F.col(y), "y1": F.col(y)})
+    # few bytes, but each row is about to become many: spread by place over all tasks, whatever the size
+    spread = int(near.rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = points.repartition(spread, *place)
     # the lists of a leaf are cut once more for each of its points
     own = prune(points).select(*place, *(carry or {}), F.explode_outer("_open.code").alias("_code"))
     rows = far.rows.select(*by, "_code", F.lit(True).alias("_met"), *[F.col(c).alias(n) for c, n in columns.items()])
