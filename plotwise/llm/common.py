@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import string
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotwise.session import ensure_checkpoint_dir
+from plotwise.session import shared_path, stored  # noqa: F401 (shared by the operators)
 
 #: Text bytes that are worked on at once in a task.
 CHUNK_BYTES = 2 << 20
@@ -23,19 +21,6 @@ LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.
 U64 = np.uint64
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the folder that driver and executors share (``spark.checkpoint.dir``)."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back: later steps start from files, not from lineage."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id: str = "doc_id"):
     """True for the fold that models never learn from: crc32 of the id's text leaves 0 modulo 5. A null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))

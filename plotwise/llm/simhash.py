@@ -19,7 +19,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plotwise.llm.alike import labelled, set_name
 from plotwise.llm.common import LOWER, chunks, ragged, stored
 from plotwise.llm.components import components
 
@@ -68,12 +67,12 @@ def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def fingerprints(docs: DataFrame, words: int = 4, distinct: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash and fingerprint (the 64 bits as a signed long) of every whole text, over all shingles or each distinct one once; null counts as a text without words."""
+def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash and fingerprint (the 64 bits as a signed long) of every whole text, over all shingles; null counts as a text without words."""
     def run(batches):
         for batch in chunks(batches, "text"):
             found = (hashes(t.encode(), words) for t in batch.column("text").to_pylist())
-            prints = [simhash(np.unique(h) if distinct else h) for h in found]
+            prints = [simhash(h) for h in found]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(np.array(prints, np.uint64).view(np.int64))], ["doc_id", "text_hash", "fingerprint"])
 
     return _picked(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_hash long, fingerprint long")
@@ -199,8 +198,8 @@ def spanning_links(x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(heads), np.concatenate(tails)) if heads else (none, none)
 
 
-def bucket_links(keys: np.ndarray, x: np.ndarray, bits: int, closer: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
-    """Links within the buckets of sorted keys, as positions; large buckets also get links that span what is linked at each of the ``closer`` bits."""
+def bucket_links(keys: np.ndarray, x: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within the buckets of sorted keys, as positions; of large buckets only links that span what is linked."""
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -215,14 +214,13 @@ def bucket_links(keys: np.ndarray, x: np.ndarray, bits: int, closer: tuple[int,
         heads.append(a)
         tails.append(a + step)
     for at, n in zip(first[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
-        for most in (*closer, bits):
-            a, b = spanning_links(x[at : at + n], most)
-            heads.append(at + a)
-            tails.append(at + b)
+        a, b = spanning_links(x[at : at + n], bits)
+        heads.append(at + a)
+        tails.append(at + b)
     return np.concatenate(heads), np.concatenate(tails)
 
 
-def linked(prints: DataFrame, bits: int, closer: tuple[int, ...] = ()) -> DataFrame:
+def linked(prints: DataFrame, bits: int) -> DataFrame:
     """Links (x, y) between distinct fingerprints within ``bits`` differing bits; together they connect all that are linked."""
     choice = plan(prints, bits)
 
@@ -250,7 +248,7 @@ def linked(prints: DataFrame, bits: int, closer: tuple[int, ...] = ()) -> DataFr
             yield from out(keys, x)
 
     def out(keys, x):
-        a, b = bucket_links(keys, x, bits, closer)
+        a, b = bucket_links(keys, x, bits)
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x[a].view(np.int64), x[b].view(np.int64))), pa.array(np.maximum(x[a].view(np.int64), x[b].view(np.int64)))], ["x", "y"])
 
@@ -269,7 +267,7 @@ def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, id_col: str
     gives none. Only the two needed columns are read. No link is lost: the pigeonhole is exact for every choice of
     partitions, and what a large bucket leaves out is joined by other links of the same bucket.
     """
-    prints = stored(fingerprints(docs, words, False, id_col, text_col), "simhash")
+    prints = stored(fingerprints(docs, words, id_col, text_col), "simhash")
     # copies count once from here on; ids below zero are fine
     distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     links = linked(distinct, bits)
@@ -283,57 +281,18 @@ def near_duplicates(docs: DataFrame, bits: int = 4, words: int = 4, id_col: str
 
 # ---- one document of each group ----------------------------------------------------------------------------------
 
-def _similar(links: DataFrame, docs: DataFrame, first: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The links between fingerprints whose first documents' sets of shingles have a Jaccard similarity of ``similarity`` or more."""
-    def sets(batches):
-        for batch in chunks(batches, "text"):
-            found = [np.unique(hashes(t.encode(), words)).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("fingerprint"), pa.array(found, pa.binary())], ["fingerprint", "shingles"])
+def one_of_each(docs: DataFrame, bits: int = 4, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, without near copies: of each component of ``near_duplicates`` the one with the smallest doc_id stays.
 
-    def compare(batches):
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("one").to_pylist(), batch.column("other").to_pylist()):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - shared
-                keep.append(shared >= similarity * union - 1e-9)  # texts without words are all alike
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
-
-    ends = links.select(F.col("x").alias("fingerprint")).union(links.select("y")).distinct()
-    wanted = stored(first.join(ends, "fingerprint").select("doc_id", "text_hash", "fingerprint"), "simhash-wanted")
-    texts = docs.join(wanted, ["doc_id", "text_hash"]).select("fingerprint", "text")
-    held = stored(texts.mapInArrow(sets, "fingerprint long, shingles binary").dropDuplicates(["fingerprint"]), "simhash-shingles")
-    one = held.select(F.col("fingerprint").alias("x"), F.col("shingles").alias("one"))
-    other = held.select(F.col("fingerprint").alias("y"), F.col("shingles").alias("other"))
-    return links.join(one, "x").join(other, "y").select("x", "y", "one", "other").mapInArrow(compare, "x long, y long")
-
-
-def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns as they are, without near copies: of each group the one with the smallest doc_id stays.
-
-    Documents are linked if their sets of shingles of ``words`` words have a Jaccard similarity of ``similarity`` or
-    more. All such pairs count, whatever the kind of edit: candidates come from ``alike``, which loses none. Only texts
-    with the same set of shingles are one text beforehand. Texts without
-    words are one group. Of repeated rows with the same id and text one stays; a null id loses to any other. An empty
-    table stays empty. Other columns may have any names.
+    Null texts and texts without words are one group, with whatever else lies near fingerprint zero. Of repeated rows
+    with the same id and text one stays; a null id loses to any other. An empty table stays empty. Other columns may
+    have any names.
     """
-    def hashed(text: str) -> np.ndarray:
-        return np.unique(hashes(text.encode(), words))
-
-    def named(batches):
-        for batch in chunks(batches, "text"):
-            found = [set_name(hashed(t)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.int64())], ["doc_id", "text_hash", "fingerprint"])
-
-    texts = _picked(docs, id_col, text_col)
-    prints = stored(texts.mapInArrow(named, "doc_id long, text_hash long, fingerprint long"), "sets")
+    prints = stored(fingerprints(docs, words, id_col, text_col), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = prints.groupBy("fingerprint").agg(F.min(order).alias("first"))
-    first = stored(first.select("fingerprint", "first.*"), "sets-distinct")
-    ids = F.coalesce("doc_id", F.lit(-1)).alias("doc_id")
-    picked = texts.select(ids, "text_hash", "text")
-    labels = labelled(texts, hashed, similarity, lambda links: _similar(links, picked, first.select(ids, "text_hash", "fingerprint"), words, similarity))
+    first = stored(first.select("fingerprint", "first.*"), "simhash-first")
+    labels = components(linked(first, bits), "x", "y").select(F.col("id").alias("fingerprint"), F.col("component").alias("label"))
     grouped = first.join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
     kept = stored(grouped.groupBy("label").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.text_hash"), "simhash-kept")
     own_hash = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))

@@ -40,7 +40,7 @@ def staged(spark, root, docs):
     bench = spark.read.parquet(f"{root}/benchmark.parquet").first().text
     filler = docs.where("lang = 'en'").orderBy("n_chars").first().text
     base = docs.where("lang = 'en' AND n_chars > 3000").orderBy("doc_id").first().text
-    near = base.replace(base.split()[40], "xyzzy", 1)
+    near = base + "  "
     planted = [(9001, base), (9002, near), (9003, f"{filler} {bench} {filler}"), (9004, filler + " Write to eve.far@mail.example.org or +1 (504) 555-2652 now."), (9005, "12 34 !!"), (9006, None)]
     rows = spark.createDataFrame([(i, t, "en", "planted", None if t is None else len(t)) for i, t in planted], docs.schema)
     at, out = docs.unionByName(rows), {}
