@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from plotwise.catalog.join_queries import zones
 from plotwise.catalog.registry import query
-from plotwise.catalog.space_queries import parcels
 from plotwise.functions import geometry as geo
 from plotwise.functions.logic import today_column
 from plotwise.jobs import cleaning, layers
@@ -22,6 +21,20 @@ def scratch(t, name: str) -> str:
     return f"{t.spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+# Dissolved squares of a grid: parts that share sides hang together (edges), and the Euler number (squares less sides
+# plus full corners) is outlines less holes.
+SQUARE_RINGS = """
+WITH RECURSIVE cell AS (SELECT DISTINCT * FROM ({cells})),
+side AS (SELECT a.k, a.x, a.y, b.x AS u, b.y AS v FROM cell a JOIN cell b ON a.k = b.k AND ABS(a.x - b.x) + ABS(a.y - b.y) = 1),
+reach(k, x, y, u, v) AS (SELECT k, x, y, x, y FROM cell UNION SELECT r.k, r.x, r.y, s.u, s.v FROM reach r JOIN side s ON s.k = r.k AND s.x = r.u AND s.y = r.v),
+heads AS (SELECT k, COUNT(*) AS c FROM (SELECT k, x, y, MIN((u, v)) AS low FROM reach GROUP BY k, x, y) WHERE low = (x, y) GROUP BY k),
+corner AS (SELECT a.k, COUNT(*) AS c FROM cell a JOIN cell b ON a.k = b.k AND b.x = a.x + 1 AND b.y = a.y JOIN cell d ON a.k = d.k AND d.x = a.x AND d.y = a.y + 1
+ JOIN cell e ON a.k = e.k AND e.x = a.x + 1 AND e.y = a.y + 1 GROUP BY a.k),
+pairs AS (SELECT k, COUNT(*) // 2 AS c FROM side GROUP BY k)
+SELECT k, COUNT(*) AS num_parts, MAX(heads.c) AS num_outlines, MAX(heads.c) - (COUNT(*) - COALESCE(MAX(pairs.c), 0) + COALESCE(MAX(corner.c), 0)) AS num_holes,
+ CAST(COUNT(*) * {unit} AS DOUBLE) AS area{extra} FROM cell JOIN heads USING (k) LEFT JOIN pairs USING (k) LEFT JOIN corner USING (k) {more} GROUP BY k"""
+
+
 @query("s01_table_scan", "SELECT p_partkey, p_name FROM part WHERE p_size > 10")
 def table_scan(t):
     return readers.table(t.spark, t.root, "part").where("p_size > 10").select("p_partkey", "p_name")
@@ -379,11 +392,12 @@ def district_ids(t):
     return out.select(F.col("district_id").alias("pin"), "geoid")
 
 
-@query("e24_dissolve", """
-SELECT n_regionkey, arg_min(zone_name, zone_id) AS zone_name, COUNT(*) AS num_parts FROM zone JOIN nation ON zone_id = n_nationkey GROUP BY n_regionkey""")
+@query("e24_dissolve", SQUARE_RINGS.format(
+    cells="SELECT n_regionkey AS k, n_nationkey % 5 AS x, n_nationkey // 5 AS y FROM nation", extra=", arg_min(n_name, n_nationkey) AS zone_name", more="JOIN nation ON n_regionkey = k AND n_nationkey = x + 5 * y", unit="4000000"))
 def dissolve_layer(t):
     rows = zones(t).join(t.nation, F.col("zone_id") == F.col("n_nationkey"))
-    return layers.dissolve_layer(rows, ["n_regionkey"], ["zone_name"], "zone_id").select("n_regionkey", "zone_name", "num_parts")
+    out = layers.dissolve_layer(rows, ["n_regionkey"], ["zone_name"], "zone_id")
+    return out.select(F.col("n_regionkey").alias("k"), "num_parts", "num_outlines", "num_holes", geo.ring_area(F.col("rings")).alias("area"), "zone_name")
 
 
 @query("e25_monitors", """
@@ -395,11 +409,13 @@ def monitors(t):
     return layers.monitor_readings(wide, sites, "site", ["2019", "2020"])
 
 
-@query("e26_outlines", "SELECT pin % 25 AS nbhd, year, COUNT(*) AS num_parts FROM parcel_point GROUP BY pin % 25, year")
+@query("e26_outlines", SQUARE_RINGS.format(cells="SELECT c_nationkey AS k, c_custkey % 97 AS x, c_custkey // 97 AS y FROM customer", extra="", more="", unit="100"))
 def outlines(t):
-    rows = parcels(t).withColumn("nbhd", F.col("pin") % 25)
-    out = layers.dissolve_layer(rows, ["nbhd", "year"], ["x"], "pin")
-    return out.select("nbhd", "year", "num_parts")
+    # Lots of ten by ten feet, side by side: neighbourhoods are blocks of them with corners and courts.
+    lots = t.customer.select(F.col("c_nationkey").alias("k"), (F.col("c_custkey") % 97 * 10).alias("x"), (F.floor(F.col("c_custkey") / 97) * 10).alias("y"), "c_custkey")
+    rows = lots.withColumn("rings", geo.rectangle(F.col("x"), F.col("y"), F.col("x") + 10, F.col("y") + 10))
+    out = layers.dissolve_layer(rows, ["k"], [], "c_custkey")
+    return out.select("k", "num_parts", "num_outlines", "num_holes", geo.ring_area(F.col("rings")).alias("area"))
 
 
 @query("e27_landed_layer", "SELECT zone_id AS id, zone_name AS name, '2023' AS year, CAST(4000000 AS DOUBLE) AS area FROM zone")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from plotwise.catalog.join_queries import zones
 from plotwise.catalog.registry import query
 from plotwise.functions import geometry as geo
+from plotwise.functions import projection
+from plotwise.operators import dissolve as dissolving
 from plotwise.operators import filling, network, ratio, shapes, spatial
 
 # Parcels as right-angled quadrilaterals around their point; widths depend on the key.
@@ -136,7 +138,7 @@ SELECT n_regionkey AS region, arg_min(zone_name, zone_id) AS first_name, COUNT(*
 FROM zone JOIN nation ON zone_id = n_nationkey GROUP BY n_regionkey""")
 def dissolve(t):
     rows = zones(t).join(t.nation, F.col("zone_id") == F.col("n_nationkey"))
-    out = shapes.dissolve(rows, ["n_regionkey"], ["zone_name"], "zone_id")
+    out = dissolving.dissolve(rows, ["n_regionkey"], ["zone_name"], "zone_id")
     return out.select(
         F.col("n_regionkey").alias("region"), F.col("zone_name").alias("first_name"), "num_parts",
         geo.ring_area(F.col("rings")).alias("area"),
@@ -246,3 +248,37 @@ SELECT 'c' || o_custkey AS component, 'o' || o_orderkey AS src, 'c' || o_custkey
 FROM (SELECT o_orderkey, o_custkey, COUNT(*) OVER (PARTITION BY o_custkey) AS edge_count FROM orders) WHERE edge_count > 2""")
 def drop_small_components(t):
     return network.drop_small_components(order_links(t), 2)
+
+
+_DEGREES = "SELECT pin, -88.4 + x / 10000 AS lon, 41.4 + y / 10000 AS lat FROM parcel_point"
+_GRID_X, _GRID_Y = projection.forward_sql("lon", "lat")
+
+
+def _in_degrees(t):
+    return t.parcel_point.select("pin", (F.lit(-88.4) + F.col("x") / 10000).alias("lon"), (F.lit(41.4) + F.col("y") / 10000).alias("lat"))
+
+
+@query("g14_to_grid", f"SELECT pin, ROUND({_GRID_X}, 3) AS x, ROUND({_GRID_Y}, 3) AS y FROM ({_DEGREES})")
+def to_grid(t):
+    x, y = projection.to_grid(F.col("lon"), F.col("lat"))
+    return _in_degrees(t).select("pin", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))
+
+
+@query("g14_from_grid", f"SELECT pin, ROUND(lon, 8) AS lon, ROUND(lat, 8) AS lat FROM ({_DEGREES})")
+def from_grid(t):
+    # Forth and back: the places themselves are the result to match.
+    x, y = projection.to_grid(F.col("lon"), F.col("lat"))
+    placed = _in_degrees(t).select("pin", x.alias("x"), y.alias("y"))
+    lon, lat = projection.from_grid(F.col("x"), F.col("y"))
+    return placed.select("pin", F.round(lon, 8).alias("lon"), F.round(lat, 8).alias("lat"))
+
+
+@query("g14_simplify", """
+SELECT pin, CAST(CASE WHEN pin % 7 > 2.5 THEN 3 ELSE 2 END AS INT) AS points, CASE WHEN pin % 7 > 2.5 THEN 2 * SQRT(16 + (pin % 7) * (pin % 7)) ELSE 8.0 END AS length FROM parcel_point""")
+def simplify(t):
+    # A flat line with one peak in its middle, of a height that the key sets; slopes are straight.
+    height = (F.col("pin") % 7).cast("double")
+    line = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: F.struct((F.col("x") + i).alias("x"), (F.col("y") + height * (1 - F.abs(i - 4) / 4)).alias("y")))
+    kept = t.parcel_point.withColumn("line", line).select("pin", projection.simplify_line("line", 2.5).alias("s"))
+    length = F.aggregate(geo.ring_edges(F.col("s")), F.lit(0.0), lambda a, e: a + geo.distance(e["x1"], e["y1"], e["x2"], e["y2"]))
+    return kept.select("pin", F.size("s").alias("points"), length.alias("length"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plotwise.operators.dissolve import dissolve
 from plotwise.operators.network import drop_small_components
 from plotwise.operators.ordered import dedup_by_priority
 from plotwise.operators.reshape import union_missing
-from plotwise.operators.shapes import dissolve
 from plotwise.operators.spatial import points_in_polygons
 from plotwise.operators.grouped import with_group_values
 
@@ -112,7 +112,7 @@ def district_ids(
 
 
 def dissolve_layer(df: DataFrame, keys: list[str], attributes: list[str], order: str) -> DataFrame:
-    """Attribute dissolve of a layer: districts, zones, police, tax, schools, water."""
+    """A layer dissolved by attributes: districts, zones, police, tax, schools, water."""
     return dissolve(df, keys, attributes, order)
 
 

@@ -142,14 +142,3 @@ def corner_lots(
     return joined.select(
         id_col, F.coalesce("is_corner_lot", F.lit(False)).alias("is_corner_lot"), "num_cross_branch"
     )
-
-
-def dissolve(df: DataFrame, keys: list[str], attributes: list[str], order: str, rings: str = "rings") -> DataFrame:
-    """One row per key: attributes of the first part in ``order``, all parts' rings together.
-
-    Shared borders stay; under the even-odd rule disjoint parts behave as one area.
-    """
-    parts = F.array_sort(F.collect_list(F.struct(order, rings)))
-    firsts = [F.min_by(a, order).alias(a) for a in attributes]
-    grouped = df.groupBy(*keys).agg(*firsts, parts.alias("_parts"), F.count(F.lit(1)).alias("num_parts"))
-    return grouped.withColumn(rings, F.flatten(F.transform("_parts", lambda p: p[rings]))).drop("_parts")
