@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from plotwise.catalog.registry import query
 from plotwise.checks import generic as check
-from plotwise.checks import rollup
+from plotwise.checks import rollup, suite
+from plotwise.session import shared_path
 
 
 @query("t01_accepted_range", "SELECT c_acctbal, c_custkey FROM customer WHERE NOT c_acctbal >= 0 OR NOT c_acctbal <= 9000")
@@ -216,3 +219,72 @@ UNION ALL SELECT 'run', '2024', 'pending', CAST(pin % 25 AS VARCHAR), '{"status"
 def failing_rows(t):
     out = rollup.failing_rows(_failures(t), ABOUT, "run", "2024", "town")
     return out.select("run_id", "run_year", "test_name", "township_code", "problem")
+
+
+SUITE = [
+    suite.in_range("large_sale", "cents", high=45000000, extra=["salekey", "town"]),
+    suite.none_of("pending", "status", ["P"], ["salekey", "town"]),
+    suite.in_range("negative", "cents", low=0, extra=["salekey", "town"]),
+    suite.one_of("year_known", "year", ["1995", "1996", "1997", "1998"], ["salekey"]),
+    suite.known("pin_known", "pin", ["salekey"]),
+    suite.holds("even_or_small", "salekey % 2 = 0 OR cents < 20000000", ["salekey", "cents"]),
+    suite.at_most("short_status", ["status"], 0, ["salekey"]),
+    suite.unique_by("one_a_year", ["pin", "year"], 1),
+    suite.unique_by("ten_in_town", ["town"], 9, {"top": "max(cents)"}),
+    suite.counted_between("years_in_town", "year", "town", 1, 6),
+    suite.rows_above("enough_rows", 10),
+    suite.present("some_below_zero", "cents < 0"),
+]
+
+
+def _suite_rows(t):
+    sale = t.sale.withColumn("town", (F.col("pin") % 25).cast("string"))
+    parent = suite.ParentCheck("pin_in_nation", "town", t.nation.select((F.col("n_nationkey") * 2).cast("string").alias("n")), "n", {"salekey": "salekey"})
+    return suite.run(sale, [*SUITE, parent], "town")
+
+
+@query("t22_fused_checks", """
+WITH s AS (SELECT *, CAST(pin % 25 AS VARCHAR) AS town FROM sale),
+fails AS (
+ SELECT 'large_sale' AS test_name, town AS township_code, CAST(salekey AS VARCHAR) AS subject FROM s WHERE cents > 45000000
+ UNION ALL SELECT 'pending', town, CAST(salekey AS VARCHAR) FROM s WHERE status = 'P' UNION ALL SELECT 'negative', town, CAST(salekey AS VARCHAR) FROM s WHERE cents < 0
+ UNION ALL SELECT 'year_known', town, CAST(salekey AS VARCHAR) FROM s WHERE year NOT IN ('1995', '1996', '1997', '1998') UNION ALL SELECT 'pin_known', town, CAST(salekey AS VARCHAR) FROM s WHERE pin IS NULL
+ UNION ALL SELECT 'even_or_small', town, CAST(salekey AS VARCHAR) FROM s WHERE NOT (salekey % 2 = 0 OR cents < 20000000) UNION ALL SELECT 'short_status', town, CAST(salekey AS VARCHAR) FROM s WHERE length(status) > 0
+ UNION ALL SELECT 'one_a_year', NULL, pin || '/' || year FROM s GROUP BY pin, year HAVING COUNT(*) > 2
+ UNION ALL SELECT 'ten_in_town', town, town || ':' || MAX(cents) FROM s GROUP BY town HAVING COUNT(*) > 10
+ UNION ALL SELECT 'years_in_town', town, town FROM s GROUP BY town HAVING NOT (COUNT(DISTINCT year) BETWEEN 1 AND 6)
+ UNION ALL SELECT 'enough_rows', NULL, '' FROM s HAVING COUNT(*) < 10 UNION ALL SELECT 'some_below_zero', NULL, '' FROM s HAVING COUNT(CASE WHEN cents < 0 THEN 1 END) = 0
+ UNION ALL SELECT 'pin_in_nation', town, CAST(salekey AS VARCHAR) FROM s WHERE CAST(town AS INT) % 2 = 1 OR CAST(town AS INT) > 48)
+SELECT * FROM fails""")
+def fused_checks(t):
+    p = lambda name: F.get_json_object("problem", f"$.{name}")
+    subject = (
+        F.when(F.col("test_name") == "one_a_year", F.concat(p("pin"), F.lit("/"), p("year"))).when(F.col("test_name") == "ten_in_town", F.concat(p("town"), F.lit(":"), p("top")))
+        .when(F.col("test_name") == "years_in_town", p("town")).when(F.col("test_name").isin("enough_rows", "some_below_zero"), F.lit("")).otherwise(p("salekey"))
+    )
+    return _suite_rows(t).select("test_name", "township_code", subject.alias("subject"))
+
+
+@query("s16_run_tables", """
+WITH s AS (SELECT *, CAST(pin % 25 AS VARCHAR) AS town FROM sale),
+r AS (SELECT 'large_sale' AS test_name, town, COUNT(*) AS n FROM s WHERE cents > 45000000 GROUP BY town UNION ALL SELECT 'pending', town, COUNT(*) FROM s WHERE status = 'P' GROUP BY town),
+kept AS (SELECT * FROM r UNION ALL SELECT 'negative', NULL, 0)
+SELECT 'first' AS run_id, '2024' AS run_year, 'result' AS table_name, test_name, town AS township_code, n FROM kept
+UNION ALL SELECT 'first', '2024', 'failing_row', test_name, town, n FROM r UNION ALL SELECT 'first', '2024', 'run', NULL, NULL, 1
+UNION ALL SELECT 'second', '2025', 'result', 'negative', NULL, 0 UNION ALL SELECT 'second', '2025', 'run', NULL, NULL, 1""")
+def run_tables(t):
+    """Two runs of different years in the three tables, read back."""
+    path = shared_path(t.spark, "check-runs")
+    sale = t.sale.withColumn("town", (F.col("pin") % 25).cast("string"))
+    for run_id, year, names in (("first", 2024, ("large_sale", "pending", "negative")), ("second", 2025, ("negative",))):
+        about = {n: ABOUT[n] for n in names}
+        rows = rollup.suite_rows({"sale": suite.run(sale, [c for c in SUITE if c.name in names], "town")}, about, run_id, str(year))
+        record = rollup.run_record(t.spark, run_id, dt.datetime(year, 3, 1), 1.5, "tests", "2020", str(year), "0", "main", "tests")
+        rollup.write_run(path, record, rows, about, run_id, str(year))
+    read = lambda name: t.spark.read.parquet(f"{path}/{name}").withColumns({"run_year": F.col("run_year").cast("string"), "table_name": F.lit(name)})
+    keys = ["run_id", "run_year", "table_name"]
+    tests = [*keys, "test_name", "township_code"]
+    failing = read("failing_row").groupBy(*tests).agg(F.count(F.lit(1)).alias("n"))
+    results = read("result").select(*tests, F.col("num_failing_rows").alias("n"))
+    runs = read("run").select(*keys, F.lit(None).cast("string").alias("test_name"), F.lit(None).cast("string").alias("township_code"), F.lit(1).cast("long").alias("n"))
+    return results.unionByName(failing).unionByName(runs)

@@ -80,12 +80,14 @@ def partitioned_sink(t):
 
 @query("s07_bucketed_sink", "SELECT a.pin, a.cents AS cents, b.n AS n FROM parcel_year a JOIN parcel_year b ON a.pin = b.pin AND a.year = b.year")
 def bucketed_sink(t):
-    name = f"bucketed_{uuid.uuid4().hex}"
-    writers.write_bucketed(t.parcel_year, name, ["pin"], 4, scratch(t, "buckets"))
-    # Both sides share the bucketing, so neither is shuffled.
-    a, b = t.spark.table(name), t.spark.table(name)
-    joined = a.alias("a").join(b.alias("b"), (F.col("a.pin") == F.col("b.pin")) & (F.col("a.year") == F.col("b.year")))
-    return joined.select("a.pin", F.col("a.cents").alias("cents"), F.col("b.n").alias("n"))
+    names = [f"bucketed_{uuid.uuid4().hex}" for _ in range(2)]
+    for name, column in zip(names, ("cents", "n")):
+        writers.write_bucketed(t.parcel_year.select("pin", "year", column), name, ["pin", "year"], 4, scratch(t, "buckets"))
+    left, right = (t.spark.table(n) for n in names)
+    joined = writers.bucketed_join(left, right, ["pin", "year"]).select("pin", "cents", "n")
+    joined.columns  # resolved, so the tables may leave the catalogue
+    writers.dropped(t.spark, *names)
+    return joined
 
 
 @query("s08_incremental", """

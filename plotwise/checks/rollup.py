@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plotwise.sources.writers import write_partitioned
+
 
 def failing_rows(
     failures: dict[str, DataFrame], about: dict[str, dict], run_id: str, run_year: str, township: str | None = None
@@ -36,6 +38,32 @@ def failing_rows(
     return reduce(DataFrame.unionByName, parts)
 
 
+def suite_rows(found: dict[str, DataFrame], about: dict[str, dict], run_id: str, run_year: str) -> DataFrame:
+    """All failing rows of the suites of several tables (``suite.run`` by table name), with what is known about each test."""
+    fields = ("column", "category", "description")
+    parts = []
+    for table, rows in found.items():
+        details = F.create_map(*[x for n, a in about.items() if a.get("table") == table for x in (F.lit(n), F.struct(*[F.lit(a.get(f)).cast("string").alias(f) for f in fields]))])
+        named = rows.withColumn("_about", F.try_element_at(details, F.col("test_name")))
+        parts.append(named.select(
+            F.lit(run_id).alias("run_id"), F.lit(run_year).alias("run_year"), "test_name", F.lit(table).alias("table_name"), F.col("_about.column").alias("column_name"),
+            F.col("_about.category").alias("category"), F.col("_about.description").alias("description"), "township_code", "problem",
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def write_run(path: str, record: DataFrame, rows: DataFrame, about: dict[str, dict], run_id: str, run_year: str) -> None:
+    """Append a run to its three tables below ``path``, each partitioned by run_year: ``run``, ``result`` and ``failing_row``.
+
+    Failing rows are written first and read back for the results, so checks run once.
+    """
+    spark = rows.sparkSession
+    write_partitioned(rows, f"{path}/failing_row", ["run_year"], mode="append")
+    written = spark.read.schema(rows.schema).parquet(f"{path}/failing_row").where(F.col("run_id") == run_id)
+    write_partitioned(results(written, spark, about, run_id, run_year), f"{path}/result", ["run_year"], mode="append")
+    write_partitioned(record, f"{path}/run", ["run_year"], mode="append")
+
+
 def results(rows: DataFrame, spark: SparkSession, about: dict[str, dict], run_id: str, run_year: str) -> DataFrame:
     """One row per test, category and township with its status; tests without failures pass."""
     keys = ["run_id", "run_year", "test_name", "table_name", "column_name", "category", "description", "township_code"]

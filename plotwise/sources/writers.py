@@ -11,25 +11,46 @@ from pyspark.sql import functions as F
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
+def balanced(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Rows dealt by partition columns into tasks of the size that ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` sets.
+
+    A partition larger than that is split over several tasks, small ones share a task, so the number of files follows
+    the bytes and not tasks times partitions. Needs adaptive execution, which is on by default.
+    """
+    return df.hint("rebalance", *[F.col(p) for p in partitions]) if partitions else df
+
+
 def write_partitioned(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite", per_file: int = 0) -> None:
     """Write by partition columns, rows of a partition spread over tasks by size and not by key alone."""
-    writer = df.write.mode(mode).partitionBy(*partitions).option("compression", "zstd")
+    writer = balanced(df, partitions).write.mode(mode).partitionBy(*partitions).option("compression", "zstd")
     if per_file:
         writer = writer.option("maxRecordsPerFile", per_file)
     writer.parquet(path)
 
 
 def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> None:
-    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    """A table bucketed and sorted by ``keys``, one file for each bucket: rows are dealt by the bucket's own hash beforehand."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
 
 
+def bucketed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join two tables that are bucketed by exactly ``keys`` into as many buckets: neither side is shuffled, buckets are merged where they lie."""
+    return left.hint("merge").join(right, keys, how)
+
+
+def dropped(spark: SparkSession, *names: str) -> None:
+    """Take tables with a path of their own out of the catalogue; frames that read them go on, as the files stay."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_dynamic(df: DataFrame, path: str, partitions: list[str]) -> None:
     """Replace just the partitions that ``df`` holds."""
     (
-        df.write.mode("overwrite")
+        balanced(df, partitions).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*partitions)
@@ -67,13 +88,13 @@ def write_partitions(df: DataFrame, path: str, partitions: list[str], overwrite:
             lambda a, b: a & b, [F.col(p).cast("string").eqNullSafe(F.col(f"_p_{p}")) for p in partitions]
         )
         stamped = stamped.join(have, same, "left_anti")
-    stamped.write.mode("append").partitionBy(*partitions).option("compression", "snappy").parquet(path)
+    balanced(stamped, partitions).write.mode("append").partitionBy(*partitions).option("compression", "snappy").parquet(path)
 
 
 def export_by_year(df: DataFrame, path: str, year: str = "year", per_file: int = 10_000) -> None:
     """CSV parts of a fixed number of rows in one folder per year; rows without a year have their own."""
     (
-        df.write.mode("overwrite")
+        balanced(df, [year]).write.mode("overwrite")
         .partitionBy(year)
         .option("maxRecordsPerFile", per_file)
         .option("header", "true")
