@@ -190,6 +190,27 @@ def ratio_statistics(t):
     return ratio.ratio_statistics(t.ratio_row, ["brand"], "fmv", "sale_price", nboot=300)
 
 
+@query("a21_ratio_flags", TRIM + """
+, a AS (SELECT brand, COUNT(*) AS sale_n, AVG(CASE WHEN ratio BETWEEN 0.98 AND 1.02 THEN 1.0 ELSE 0.0 END) AS share, AVG(ratio) AS mu, STDDEV_SAMP(ratio) AS sd,
+ COUNT(CASE WHEN ABS(1 - ratio) <= 0.2 THEN 1 END) AS within_20_pct, COUNT(CASE WHEN ABS(1 - ratio) <= 0.05 THEN 1 END) AS within_05_pct FROM r GROUP BY brand),
+b AS (SELECT brand, ratio, COUNT(*) AS c, LAG(ratio) OVER (PARTITION BY brand ORDER BY ratio) AS before FROM r GROUP BY brand, ratio),
+jump AS (SELECT brand, MAX(c) AS c, (list(before ORDER BY c DESC, before))[1] AS place FROM b WHERE before IS NOT NULL GROUP BY brand),
+p AS (SELECT brand, fmv, sale_price, ratio, med, ROW_NUMBER() OVER (PARTITION BY brand ORDER BY sale_price, fmv) AS rk FROM k JOIN m USING (brand)),
+v AS (SELECT brand, COUNT(*) AS n, MAX(med) AS med, 100 * AVG(ABS(ratio - med)) / MAX(med) AS cod, AVG(ratio) / (SUM(fmv) / SUM(sale_price)) AS prd, REGR_SLOPE((ratio - med) / med, LOG2((fmv / med + sale_price) / 2)) AS prb,
+ (2 * SUM(fmv * rk) / SUM(fmv) - (COUNT(*) + 1)) / (2 * SUM(sale_price * rk) / SUM(sale_price) - (COUNT(*) + 1)) AS mki FROM p GROUP BY brand),
+x AS (SELECT *, CASE WHEN sd > 0 THEN list_sum(list_transform(range(401), lambda i: (CASE WHEN i IN (0, 400) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * EXP(-POW((0.98 + 0.0001 * i - mu) / sd, 2) / 2) / sd / SQRT(2 * PI()))) * 0.0001 / 3 END AS normal FROM a)
+SELECT brand, sale_n, sale_n - COALESCE(n, 0) AS sales_excluded_n, COALESCE(n, 0) AS med_ratio_n, CASE WHEN n >= 2 THEN med BETWEEN 0.9 AND 1.1 END AS med_ratio_met, CASE WHEN n >= 20 THEN ROUND(cod, 6) END AS cod, CASE WHEN n >= 20 THEN cod BETWEEN 5 AND 15 END AS cod_met,
+ CASE WHEN n >= 20 THEN prd BETWEEN 0.98 AND 1.03 END AS prd_met, CASE WHEN n >= 20 THEN prb BETWEEN -0.05 AND 0.05 END AS prb_met, CASE WHEN n >= 20 THEN ROUND(mki, 8) END AS mki, CASE WHEN n >= 20 THEN mki BETWEEN 0.95 AND 1.05 END AS mki_met,
+ CASE WHEN n >= 20 THEN prb BETWEEN -0.05 AND 0.05 OR prd BETWEEN 0.98 AND 1.03 END AS vertical_equity_met,
+ CASE WHEN sale_n >= 20 THEN COALESCE(jump.c / CAST(sale_n AS DOUBLE) > 0.03 AND place > 0.98 AND place < 1.02, FALSE) AND COALESCE(share > normal, FALSE) END AS is_sales_chased, within_20_pct, within_05_pct
+FROM x LEFT JOIN v USING (brand) LEFT JOIN jump USING (brand)""")
+def ratio_flags(t):
+    # Point values, gates, accepted ranges and chasing; the bootstrap's limits are random and have tests of their own.
+    out = ratio.ratio_statistics(t.ratio_row, ["brand"], "fmv", "sale_price", nboot=20)
+    plain = ["sale_n", "sales_excluded_n", "med_ratio_n", "med_ratio_met", "cod_met", "prd_met", "prb_met", "mki_met", "vertical_equity_met", "is_sales_chased", "within_20_pct", "within_05_pct"]
+    return out.select("brand", *plain, F.round("cod", 6).alias("cod"), F.round("mki", 8).alias("mki"))
+
+
 @query("a24_within_tolerance", """
 SELECT brand, COUNT(CASE WHEN ABS(1 - fmv / sale_price) <= 0.2 THEN 1 END) AS within_20_pct, COUNT(CASE WHEN ABS(1 - fmv / sale_price) <= 0.1 THEN 1 END) AS within_10_pct,
  COUNT(CASE WHEN ABS(1 - fmv / sale_price) <= 0.05 THEN 1 END) AS within_05_pct FROM ratio_row GROUP BY brand""")

@@ -14,6 +14,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,9 @@ MET_RANGES = {
 CHASING_BOUNDS = (0.98, 1.02)
 CHASING_GAP = 0.03
 BINS = 256
+#: Lanes in which the vectors of a hot bin are added up first, and (group, bin) vectors that a task holds before it hands them on.
+LANES = 64
+HELD = 512
 
 
 def met(value: Column, name: str) -> Column:
@@ -68,20 +73,45 @@ def point_statistics(trimmed: DataFrame, groups: list[str], estimate: str, price
     )
 
 
+def _rank_sums(pairs: DataFrame, groups: list[str]) -> DataFrame:
+    """groups, _part, _n, _se, _ss, _re, _rs for each range partition of (group, price, estimate): counts, sums and sums weighted by the rank within the partition.
+
+    ``pairs`` has distinct _s and _e with their number _c, so a hot group spreads over as many partitions as its prices.
+    """
+    key_fields = [pairs.schema[g] for g in groups]
+    sums = ("_se", "_ss", "_re", "_rs")
+    schema = T.StructType([*key_fields, T.StructField("_part", T.IntegerType()), T.StructField("_n", T.LongType()), *[T.StructField(n, T.DoubleType()) for n in sums]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), (None, 0)
+        for batch in batches:
+            e, s, c = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("_e", "_s", "_c"))
+            frame = batch.select(groups).to_pandas()
+            changed = np.append(True, ~((frame.iloc[1:].to_numpy() == frame.iloc[:-1].to_numpy()) | (frame.iloc[1:].isna().to_numpy() & frame.iloc[:-1].isna().to_numpy())).all(axis=1)) if len(frame) else np.zeros(0, bool)
+            first = np.flatnonzero(changed)
+            for a, b in zip(first.tolist(), [*first[1:].tolist(), len(e)]):
+                key = tuple(None if pd.isna(v) else v for v in frame.iloc[a])
+                start = before[1] if before[0] == key else 0
+                n = c[a:b]
+                ahead = start + np.cumsum(n) - n  # rows before each pair
+                weight = n * ahead + n * (n + 1) / 2  # the sum of the ranks of its rows
+                before = (key, start + int(n.sum()))
+                values = [[*key, part, int(n.sum()), float(n @ e[a:b]), float(n @ s[a:b]), float(weight @ e[a:b]), float(weight @ s[a:b])]]
+                columns = [pa.array([v], t) for v, t in zip(values[0], [batch.schema.field(g).type for g in groups] + [pa.int32(), pa.int64()] + [pa.float64()] * 4)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*groups, "_part", "_n", *sums])
+
+    order = [*groups, "_s", "_e"]
+    found = pairs.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+    # ranks go on through the batches of a partition, so these add up
+    return found.groupBy(*groups, "_part").agg(F.sum("_n").alias("_n"), *[F.sum(n).alias(n) for n in sums])
+
+
 def kakwani_index(df: DataFrame, groups: list[str], estimate: str, price: str) -> DataFrame:
-    """MKI of each group from rank-weighted sums, ranked within price bands that add up."""
-    band = F.floor(F.log2(F.col(price)) * 64)
-    banded = df.select(*groups, F.col(estimate).alias("_e"), F.col(price).alias("_s"), band.alias("_band"))
-    local = Window.partitionBy(*groups, "_band").orderBy("_s", "_e")
-    ranked = banded.withColumn("_rank", F.row_number().over(local))
-    bands = ranked.groupBy(*groups, "_band").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("_e").alias("_se"),
-        F.sum("_s").alias("_ss"),
-        F.sum(F.col("_e") * F.col("_rank")).alias("_re"),
-        F.sum(F.col("_s") * F.col("_rank")).alias("_rs"),
-    )
-    earlier = Window.partitionBy(*groups).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    """MKI of each group from rank-weighted sums: ranks within range partitions, moved by the counts of those before."""
+    pairs = df.groupBy(*groups, F.col(price).cast("double").alias("_s"), F.col(estimate).cast("double").alias("_e")).agg(F.count(F.lit(1)).alias("_c"))
+    # one row for each partition that a group reaches into
+    bands = _rank_sums(pairs, groups)
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offset = bands.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     totals = offset.groupBy(*groups).agg(
         F.sum("_n").alias("_n"),
@@ -196,21 +226,21 @@ def bootstrap_limits(
     )
 
     def accumulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[tuple, list[np.ndarray]] = {}
         for batch in batches:
             weight = _poisson(_uniform(batch["h"].to_numpy(), nboot), batch["m"].to_numpy())
             r, e, s, x, y = (batch[c].to_numpy() for c in ("r", "e", "s", "x", "y"))
             terms = {"w": np.ones(len(batch)), "r": r, "e": e, "s": s, "x": x, "y": y, "xx": x * x, "xy": x * y}
-            parts = []
             for key, index in batch.groupby([*groups, "bin"], dropna=False, sort=False).indices.items():
+                key = tuple(None if pd.isna(k) else k for k in key)
                 w = weight[index]
-                parts.append([*key, *[terms[v][index] @ w for v in _VECTORS]])
-            yield pd.DataFrame(parts, columns=[*groups, "bin", *_VECTORS])
-
-    def add_up(part: pd.DataFrame) -> pd.DataFrame:
-        head = part.iloc[:1][[*groups, "bin"]].copy()
-        for v in _VECTORS:
-            head[v] = [np.sum(np.stack(part[v].to_numpy()), axis=0)]
-        return head
+                new = [terms[v][index] @ w for v in _VECTORS]
+                held[key] = [a + b for a, b in zip(held[key], new)] if key in held else new
+            if len(held) > HELD:
+                yield _frame(held, groups)
+                held = {}
+        if held:
+            yield _frame(held, groups)
 
     limit_names = [f"{m}_ci_{side}" for m in ("med_ratio", "cod", "prd", "prb") for side in ("l", "u")]
     limits_schema = T.StructType(key_fields + [T.StructField(n, T.DoubleType()) for n in limit_names])
@@ -241,11 +271,39 @@ def bootstrap_limits(
         return head
 
     partial = rows.mapInPandas(accumulate, vectors)
-    # First per (group, bin), then over the fixed number of bins.
-    bins = partial.groupBy(*groups, "bin").applyInPandas(add_up, vectors)
+    # First in lanes, so that a hot group's bin is many keys, then the lanes of each bin, then the fixed number of bins.
+    lanes = _added_up(partial.withColumn("_lane", F.spark_partition_id() % LANES), [*groups, "bin", "_lane"], groups, vectors)
+    bins = _added_up(lanes, [*groups, "bin"], groups, vectors)
     return bins.groupBy(*groups).applyInPandas(limits, limits_schema)
 
 
+def _frame(held: dict[tuple, list[np.ndarray]], groups: list[str]) -> pd.DataFrame:
+    return pd.DataFrame([[*key, *sums] for key, sums in held.items()], columns=[*groups, "bin", *_VECTORS])
+
+
+def _added_up(partial: DataFrame, keys: list[str], groups: list[str], schema: T.StructType) -> DataFrame:
+    """Vector sums by key over sorted rows: a task holds one row's vectors at a time, however many there are."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, {}
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                full = tuple(None if pd.isna(v) else v for v in row[: len(keys)])
+                key = full[: len(groups) + 1]
+                sums = row[len(keys) :]
+                if full == at:
+                    held[key] = [a + b for a, b in zip(held[key], sums)]
+                    continue
+                if held:
+                    yield _frame(held, groups)
+                at, held = full, {key: [np.asarray(v) for v in sums]}
+        if held:
+            yield _frame(held, groups)
+
+    dealt = partial.select(*keys, *_VECTORS).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInPandas(add, schema)
+
+
 def ratio_statistics(
     df: DataFrame, groups: list[str], estimate: str, price: str,
     trim: tuple[float, float] = (0.05, 0.95), min_n: int = 20, nboot: int = 300, seed: int = 0,
