@@ -65,19 +65,20 @@ def clamp_year_join(
 
 
 def asof_years(
-    source_years: DataFrame, row_years: DataFrame, year: str = "year", direction: str = "backward"
+    source_years: DataFrame, row_years: DataFrame, year: str = "year", direction: str = "backward", by: list[str] = ()
 ) -> DataFrame:
-    """Crosswalk ``year → source_year``: the latest source year not after (or earliest not before) each year.
+    """Crosswalk ``by, year → source_year``: the latest source year not after (or earliest not before) each year.
 
-    Works on the distinct years only. Both lists are merged and swept once, so no pair is built.
+    Works on the distinct years only. Both lists are merged and swept once, so no pair is built. With ``by`` (columns of
+    both lists, a layer's name) each of its values has a crosswalk of its own.
     """
-    rows = row_years.select(F.col(year).alias("year")).distinct()
-    sources = source_years.select(F.col(year).alias("year"), F.col(year).alias("source_year")).distinct()
-    merged = rows.join(sources, "year", "full")
+    rows = row_years.select(*by, F.col(year).alias("year")).distinct()
+    sources = source_years.select(*by, F.col(year).alias("year"), F.col(year).alias("source_year")).distinct()
+    merged = rows.join(sources, [*by, "year"], "full")
     order = F.col("year").asc() if direction == "backward" else F.col("year").desc()
-    sweep = Window.partitionBy(F.lit(1)).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    sweep = Window.partitionBy(*(by or [F.lit(1)])).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = merged.withColumn("source_year", F.last("source_year", ignorenulls=True).over(sweep))
-    return filled.where(F.col("source_year").isNotNull()).join(rows, "year", "left_semi")
+    return filled.where(F.col("source_year").isNotNull()).join(rows, [*by, "year"], "left_semi")
 
 
 def asof_join(

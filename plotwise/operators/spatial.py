@@ -254,14 +254,27 @@ def raster_lookup(
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default))).drop("cell_x", "cell_y")
 
 
+def layered(layers: dict[str, tuple[DataFrame, list[str]]], rings: str = "rings") -> DataFrame:
+    """The polygons of several layers as one frame: rings, and each layer's columns as a struct of the layer's name, null for the others."""
+    frames = [f.select(F.col(rings).alias("rings"), F.struct(*columns).alias(f"_of_{n}")) for n, (f, columns) in layers.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def most_recent_boundaries(
-    points: DataFrame, layers: dict[str, tuple[DataFrame, list[str]]], size: float, x: str = "x", y: str = "y"
+    points: DataFrame, layers: dict[str, tuple[DataFrame, list[str]]], size: float, x: str = "x", y: str = "y", year: str = "year"
 ) -> DataFrame:
-    """Each layer's newest boundaries at every point; the layers need not share a newest year."""
-    out = points
-    for frame, columns in layers.values():
-        newest = frame.where(F.col("year") == frame.agg(F.max("year")).scalar())
-        out = points_in_polygons(out, newest, columns, size, "left", (), x, y)
+    """Each layer's newest boundaries at every point; the layers need not share a newest year.
+
+    All layers go through one join of the points. A point that several polygons of a layer hold has a row for each.
+    """
+    newest = {n: (f.where(F.col(year) == f.agg(F.max(year)).scalar()), columns) for n, (f, columns) in layers.items()}
+    spots = points.select(x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()).distinct()
+    held = points_in_polygons(spots, layered(newest), [f"_of_{n}" for n in layers], size, "inner", (), x, y)
+    lists = held.groupBy(x, y).agg(*[F.collect_list(f"_of_{n}").alias(f"_of_{n}") for n in layers])
+    out = points.join(lists, [x, y], "left")
+    for n, (_, columns) in layers.items():
+        out = out.withColumn(f"_of_{n}", F.explode_outer(f"_of_{n}"))
+        out = out.withColumns({c: F.col(f"_of_{n}.{c}") for c in columns}).drop(f"_of_{n}")
     return out
 
 

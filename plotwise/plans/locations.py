@@ -16,6 +16,7 @@ from plotwise.operators.spatial import nearest_area, points_in_polygons
 from plotwise.operators.yearfill import fill_join, year_fill_crosswalk
 from plotwise.plans.parcels import parcel_base, plain_parcel_id
 from plotwise.plans.warehouse import Warehouse, attach, model
+from plotwise.session import stored
 
 X, Y = "x_3435", "y_3435"
 SPOT = [X, Y, "year"]
@@ -55,16 +56,33 @@ def read_layer(w: Warehouse, layer: Layer) -> DataFrame:
     return rows.where(layer.where) if layer.where else rows
 
 
-def asof_hits(w: Warehouse, layer: Layer) -> DataFrame:
-    """Values of a layer's as-of year at each parcel spot that one of its polygons holds."""
-    rows = read_layer(w, layer)
-    walk = asof_years(rows, w.src("spatial.parcel"))
-    spots = parcel_spots(w).join(walk, "year")
-    polygons = with_rings(rows).select(
-        F.col("year").alias("source_year"), "rings", *[c.alias(n) for n, c in layer.take.items()]
-    )
-    held = points_in_polygons(spots, polygons, list(layer.take), w.settings.cell_ft, "inner", ["source_year"], X, Y)
-    return held.groupBy(*SPOT).agg(*[F.max(n).alias(n) for n in layer.take], F.max("source_year").alias(layer.data_year))
+def layer_hits(w: Warehouse, layers: list[Layer]) -> DataFrame:
+    """Values of each layer's as-of year at each parcel spot and year.
+
+    All layers are one frame of polygons, tagged by layer and year, that the parcels' places meet in one join; one
+    crosswalk then says for which years a hit counts, and one aggregate puts the layers side by side.
+    """
+    rows = [read_layer(w, layer) for layer in layers]
+    tag = lambda i: F.lit(i).alias("_layer")
+    sources = reduce(DataFrame.unionByName, [r.select(tag(i), "year") for i, r in enumerate(rows)])
+    years = w.src("spatial.parcel").select("year").distinct()
+    years = years.select(F.explode(F.array(*[F.lit(i) for i in range(len(layers))])).alias("_layer"), "year")
+    # a row per layer and year: small, and read twice
+    walk = stored(asof_years(sources, years, by=["_layer"]), "layer-years")
+    shapes = [
+        with_rings(r).select(tag(i), F.col("year").alias("source_year"), "rings", *[c.alias(n) for n, c in layer.take.items()])
+        for i, (r, layer) in enumerate(zip(rows, layers))
+    ]
+    polygons = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shapes)
+    used = polygons.join(walk.select("_layer", "source_year").distinct(), ["_layer", "source_year"], "left_semi")
+    taken = [n for layer in layers for n in layer.take]
+    places = w.src("spatial.parcel").select(X, Y).distinct()
+    held = points_in_polygons(places, used, ["_layer", "source_year", *taken], w.settings.cell_ft, "inner", (), X, Y)
+    sides = []
+    for i, layer in enumerate(layers):
+        sides += [F.max(n).alias(n) for n in layer.take]
+        sides.append(F.max(F.when(F.col("_layer") == i, F.col("source_year"))).alias(layer.data_year))
+    return held.join(walk, ["_layer", "source_year"]).groupBy(*SPOT).agg(*sides)
 
 
 def first_year(w: Warehouse, layers: list[Layer]) -> Column:
@@ -75,10 +93,7 @@ def first_year(w: Warehouse, layers: list[Layer]) -> Column:
 def located(w: Warehouse, layers: list[Layer], since: Column | None = None) -> DataFrame:
     """Parcel rows with the values of several layers, from the first year of any layer on."""
     rows = parcel_rows(w).where(F.col("year") >= (first_year(w, layers) if since is None else since))
-    for layer in layers:
-        hits = asof_hits(w, layer)
-        rows = rows.join(hits, SPOT, "left")
-    return rows.drop(X, Y)
+    return rows.join(layer_hits(w, layers), SPOT, "left").drop(X, Y)
 
 
 def city_layers() -> list[Layer]:
@@ -247,7 +262,7 @@ def environment(w: Warehouse) -> DataFrame:
     sources = [read_layer(w, flood), contour, first_street, noise.where("year != 'omp'")]
     years = reduce(DataFrame.unionByName, [s.select("year") for s in sources]).agg(F.min("year")).scalar()
     rows = parcel_rows(w).where(F.col("year") >= years)
-    rows = rows.join(asof_hits(w, flood), SPOT, "left").join(near, SPOT, "left").drop(X, Y)
+    rows = rows.join(layer_hits(w, [flood]), SPOT, "left").join(near, SPOT, "left").drop(X, Y)
     scores = first_street.select(
         "pin10", F.col("year").alias("env_flood_fs_data_year"), F.col("fs_flood_factor").alias("env_flood_fs_factor"),
         F.col("fs_flood_risk_direction").alias("env_flood_fs_risk_direction"),

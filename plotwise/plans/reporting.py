@@ -12,7 +12,7 @@ from plotwise.operators.grouped import (
 )
 from plotwise.operators.joins import clamp_year_join, full_coalesced, lag_join, scaffold, trim_universe
 from plotwise.operators.ordered import lag_values, top_with_ties
-from plotwise.operators.spatial import points_in_polygons
+from plotwise.operators.spatial import most_recent_boundaries
 from plotwise.plans.locations import X, Y, with_rings
 from plotwise.plans.parcels import affordable_and_mixed, parcel_base
 from plotwise.plans.values import assessments
@@ -373,12 +373,12 @@ def vw_pin_most_recent_boundary(w: Warehouse) -> DataFrame:
     rows = parcels.where((F.col("year") == newest) & F.col("town_code").isNotNull()).select(
         "pin10", F.col("town_code").alias("township_code"), F.col("year").alias("parcel_year"), X, Y
     )
+    layers = {}
     for name, (source, where, columns) in RECENT_LAYERS.items():
-        layer = w.src(source).where(where) if where else w.src(source)
-        layer = with_rings(layer.where(F.col("year") == layer.agg(F.max("year")).scalar()))
-        named = layer.select(*[F.col(c).alias(n) for c, n in columns.items()], F.col("year").alias(f"{name}_year"), "rings")
-        rows = points_in_polygons(rows, named, [*columns.values(), f"{name}_year"], w.settings.cell_ft, "left", (), X, Y)
-    return rows.drop(X, Y)
+        layer = with_rings(w.src(source).where(where) if where else w.src(source))
+        named = layer.select(*[F.col(c).alias(n) for c, n in columns.items()], F.col("year").alias(f"{name}_year"), "year", "rings")
+        layers[name] = (named, [*columns.values(), f"{name}_year"])
+    return most_recent_boundaries(rows, layers, w.settings.cell_ft, X, Y).drop(X, Y)
 
 
 TAX_EXEMPTIONS = (
