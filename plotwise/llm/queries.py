@@ -108,13 +108,14 @@ def personal_data(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query("op6_perspectives", """
-WITH said AS (SELECT DISTINCT conv_id, COALESCE(turn, 0) AS turn, COALESCE(role, 'unknown') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+WITH said AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS number FROM
+ (SELECT conv_id, COALESCE(turn, 0) AS turn, COALESCE(role, 'unknown') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
 speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role != 'system'),
-each AS (SELECT s.conv_id, speaker, turn // 64 AS part, turn, role, text, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END AS head
+each AS (SELECT s.conv_id, speaker, number // 64 AS part, number, role, text, CASE WHEN role = 'system' THEN '<|system|>' WHEN role = speaker THEN '<|assistant|>' ELSE '<|user name=' || role || '|>' END AS head
  FROM said s JOIN speakers p ON s.conv_id = p.conv_id),
-placed AS (SELECT *, head || text || '<|end|>' || chr(10) AS piece, COALESCE(SUM(length(head || text || '<|end|>' || chr(10))) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins FROM each)
-SELECT conv_id, speaker, part, COUNT(*) AS n_turns, COUNT(CASE WHEN role = speaker THEN 1 END) AS n_trained, string_agg(piece, '' ORDER BY turn, role, text) AS rendered,
- COALESCE(string_agg(CASE WHEN role = speaker THEN CAST(begins AS BIGINT) || ':' || CAST(begins + length(text) AS BIGINT) END, ',' ORDER BY turn, role, text), '') AS mask FROM placed GROUP BY conv_id, speaker, part
+placed AS (SELECT *, head || text || '<|end|>' || chr(10) AS piece, COALESCE(SUM(length(head || text || '<|end|>' || chr(10))) OVER (PARTITION BY conv_id, speaker, part ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins FROM each)
+SELECT conv_id, speaker, part, COUNT(*) AS n_turns, COUNT(CASE WHEN role = speaker THEN 1 END) AS n_trained, string_agg(piece, '' ORDER BY number) AS rendered,
+ COALESCE(string_agg(CASE WHEN role = speaker THEN CAST(begins AS BIGINT) || ':' || CAST(begins + length(text) AS BIGINT) END, ',' ORDER BY number), '') AS mask FROM placed GROUP BY conv_id, speaker, part
 """)
 def perspectives(spark: SparkSession, root: str) -> DataFrame:
     from plotwise.llm.chat import rotate

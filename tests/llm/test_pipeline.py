@@ -25,15 +25,24 @@ def test_several_speakers_take_turns(spark):
     turns = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi é"), (1, 2, "bob", "yo"), (1, 3, "ann", None), (1, 3, "ann", None), (2, None, None, "lone"), (None, 1, "ann", "x"), (3, 0, "system", "s"), (1, 70, "bob", "late")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").selectExpr("*", "1 AS part", "'q' AS speaker", "array(1) AS turns")
     got = {(r.conv_id, r.speaker, r.part): r for r in chat.rotate(df).collect()}
-    assert set(got) == {(1, "ann", 0), (1, "ann", 1), (1, "bob", 0), (1, "bob", 1), (2, "unknown", 0)}
+    assert set(got) == {(1, "ann", 0), (1, "bob", 0), (2, "unknown", 0)}
     ann = got[1, "ann", 0]
-    assert ann.rendered == "<|system|>be kind<|end|>\n<|assistant|>hi é<|end|>\n<|user name=bob|>yo<|end|>\n<|assistant|><|end|>\n" and (ann.n_turns, ann.n_trained) == (4, 2)
-    assert [ann.rendered[int(a):int(b)] for a, b in (s.split(":") for s in ann.mask.split(","))] == ["hi é", ""]
+    assert ann.rendered == "<|system|>be kind<|end|>\n<|assistant|>hi é<|end|>\n<|user name=bob|>yo<|end|>\n<|assistant|><|end|>\n<|assistant|><|end|>\n<|user name=bob|>late<|end|>\n"
+    assert (ann.n_turns, ann.n_trained) == (6, 3)
+    assert [ann.rendered[int(a):int(b)] for a, b in (s.split(":") for s in ann.mask.split(","))] == ["hi é", "", ""]
     bob = got[1, "bob", 0]
-    assert [bob.rendered[int(a):int(b)] for a, b in (s.split(":") for s in bob.mask.split(","))] == ["yo"] and got[1, "ann", 1].mask == ""
+    assert [bob.rendered[int(a):int(b)] for a, b in (s.split(":") for s in bob.mask.split(","))] == ["yo", "late"]
     assert chat.rotate(df.where("1 = 0")).collect() == []
 
 
+def test_repeated_turns_without_numbers_stay(spark):
+    """A dialogue of one repeated word and no turn numbers keeps every turn, in windows of 64, over several tasks."""
+    turns = spark.range(1000, numPartitions=5).selectExpr("if(id < 990, 1, id) AS conv_id", "CAST(NULL AS long) AS turn", "if(id % 2 = 0, 'a', 'b') AS role", "'ok' AS text", "1 AS number", "2 AS part")
+    rows = chat.rotate(turns).where("conv_id = 1").collect()
+    assert sum(r.n_turns for r in rows) == 2 * 990 and max(r.n_turns for r in rows) == 64 and len(rows) == 2 * 16
+    assert sum(r.n_trained for r in rows) == 990 and sum(r.rendered.count("ok<|end|>") for r in rows) == 2 * 990
+
+
 @pytest.fixture(scope="module")
 def staged(spark, root, docs):
     """The tables after each stage, with planted rows among the documents."""
