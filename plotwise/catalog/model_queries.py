@@ -2,34 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from plotwise.catalog.registry import QUERIES, query
-from plotwise.catalog.standins import cheap_distances, cheap_layers, warehouse
-from plotwise.plans.model_inputs import DISTANCE_COLUMNS, NEIGHBOUR_COLUMNS
+from plotwise.catalog.standins import TODAY, sources, warehouse
+from plotwise.plans.build import Build
 from plotwise.plans.warehouse import load_models
-from plotwise.session import settle
-
-# Tables that others only join are derived there; every location and distance table has a query of its own.
-WIDE_DISTANCE = {
-    "proximity.vw_pin10_proximity", "proximity.vw_pin10_proximity_fill", "proximity.crosswalk_year_fill", "open_data.vw_parcel_proximity",
-    "model.vw_pin_shared_input", "model.vw_card_res_input", "model.vw_pin_condo_input",
-}
+from plotwise.session import shared_path
 
-
-_CHAINS = ("default.vw_pin_history", "default.vw_pin_address", "default.vw_pin_land", "census.vw_acs5_stat")
-MODEL_INPUTS = {
-    "model.vw_pin_shared_input": _CHAINS,
-    "model.vw_card_res_input": (*_CHAINS, "default.vw_card_res_char", "model.vw_pin_shared_input"),
-    "model.vw_pin_condo_input": (*_CHAINS, "default.vw_pin_condo_char", "model.vw_pin_shared_input"),
-}
+# Views with long chains that several wide models read: stored like tables.
+CHAINS = (
+    "default.vw_pin_history", "default.vw_pin_address", "default.vw_pin_land", "default.vw_card_res_char", "default.vw_pin_condo_char", "census.vw_acs5_stat",
+    "location.vw_pin10_location", "location.vw_pin10_location_fill", "proximity.vw_pin10_proximity", "proximity.vw_pin10_proximity_fill", "model.vw_pin_shared_input",
+)
+_BUILDS: dict[tuple[str, str], Build] = {}
 
 
-def near_columns(t):
-    """All distance columns of the model inputs as one derived table."""
-    near = {c: F.col("y_3435") for c in DISTANCE_COLUMNS}
-    near |= {c: F.col("pin10") if c.endswith("pin10") else F.col("x_3435") for c in NEIGHBOUR_COLUMNS}
-    return t.w_spot.select("pin10", "year", *[c.alias(n) for n, c in near.items()])
+def build_of(t) -> Build:
+    """One build for each session and folder of tables: a table that several models read is made once, by its own joins."""
+    key = (t.spark.sparkContext.applicationId, t.root)
+    if key not in _BUILDS:
+        _BUILDS[key] = Build(t.spark, sources(t), today=TODAY, folder=shared_path(t.spark, "models"), stored_views=CHAINS)
+    return _BUILDS[key]
 
 
 def name_of(model: str) -> str:
@@ -37,23 +29,11 @@ def name_of(model: str) -> str:
 
 
 def register() -> None:
-    for model in load_models():
+    # Tables come before the views that read many of them.
+    for model in sorted(load_models(), key=lambda m: m.split(".", 1)[1].startswith("vw_")):
         name = name_of(model)
-        if name in QUERIES:
-            continue
-
-        def build(t, model=model):
-            stand_ins = cheap_distances(t) if model in WIDE_DISTANCE else {}
-            stand_ins |= {n: df for n, df in cheap_layers(t).items() if n != model}
-            if model in MODEL_INPUTS:
-                stand_ins["proximity.vw_pin10_proximity_fill"] = near_columns(t)
-            w = warehouse(t, **stand_ins)
-            for part in MODEL_INPUTS.get(model, ()):
-                # Long chains are written once, so that the wide join starts from stored rows.
-                w.built[part] = settle(w.ref(part))
-            return w.ref(model)
-
-        query(name, MODEL_SQL.get(model))(build)
+        if name not in QUERIES:
+            query(name, MODEL_SQL.get(model))(lambda t, model=model: build_of(t).ref(model))
 
 
 MODEL_SQL: dict[str, str] = {

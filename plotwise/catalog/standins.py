@@ -209,86 +209,6 @@ def survey(t: Tables) -> DataFrame:
     return rows.withColumns(values).drop("n")
 
 
-def cheap_distances(t: Tables) -> dict:
-    """Stand-ins for distance tables in queries that only join them."""
-    from plotwise.plans.proximity import DISTANCE_FIELDS, TARGETS
-
-    out = {}
-    for order, name in enumerate(DISTANCE_FIELDS):
-        target = name.removeprefix("dist_pin_to_")
-        if target not in TARGETS:
-            continue
-        stem = f"{TARGETS[target].prefix}{target}"
-        columns = {f"{stem}_{a}": (F.col("x_3435") + order).cast("int").cast("string") for a in TARGETS[target].attributes}
-        columns[f"{stem}_dist_ft"] = F.col("y_3435") + order
-        columns[f"{stem}_data_year"] = F.when(F.col("year") >= "2021", "2021")
-
-        def build(columns=columns):
-            rows = t.w_spot.where("year >= '2021'")
-            return rows.select("pin10", "year", *[c.alias(n) for n, c in columns.items()])
-
-        out[f"proximity.{name}"] = build
-    return out
-
-
-def cheap_layers(t: Tables) -> dict:
-    """Derived location tables for queries that only join them; every layer has a query of its own."""
-    from plotwise.plans.locations import AGENCY_TYPES, GEOGRAPHIES, SURVEY_GEOGRAPHIES
-
-    area = (F.floor(F.col("x_3435") / 2000) + 5 * F.floor(F.col("y_3435") / 2000)).cast("int")
-    text, since = area.cast("string"), F.when(F.col("year") >= "2020", "2020")
-    city, east = area % 2 == 0, area % 3 == 0
-    layers = {
-        "census": {**{f"census_{g}_geoid": text for g in GEOGRAPHIES}, "census_data_year": F.col("year")},
-        "census_acs5": {**{f"census_acs5_{g}_geoid": text for g in SURVEY_GEOGRAPHIES}, "census_acs5_data_year": since},
-        "political": {
-            **{f"county_{n}_{p}": c for n in ("board_of_review_district", "commissioner_district", "judicial_district", "municipality") for p, c in (("num", text), ("data_year", since))},
-            "county_municipality_name": F.when(area % 6 == 0, "UNINCORPORATED").otherwise(F.concat(F.lit("NATION_"), text)),
-            "ward_num": text, "ward_name": F.concat(F.when(east, "evanston_").otherwise("chicago_"), text),
-            "ward_chicago_data_year": F.when(~east, since), "ward_evanston_data_year": F.when(east, since),
-        },
-        "chicago": {
-            **{f"chicago_{n}_{p}": F.when(city, c) for n in ("community_area", "industrial_corridor") for p, c in (("num", text), ("name", text), ("data_year", since))},
-            "chicago_police_district_num": F.when(city, text), "chicago_police_district_data_year": F.when(city, since),
-        },
-        "economy": {
-            f"econ_{n}_{p}": c for n in ("coordinated_care_area", "enterprise_zone", "industrial_growth_zone", "qualified_opportunity_zone", "central_business_district")
-            for p, c in (("num", text), ("data_year", since))
-        },
-        "environment": {
-            "env_flood_fema_sfha": east, "env_flood_fema_data_year": since, "env_flood_fs_factor": area, "env_flood_fs_risk_direction": F.lit(1),
-            "env_flood_fs_data_year": since, "env_ohare_noise_contour_no_buffer_bool": F.when(east, True),
-            "env_ohare_noise_contour_half_mile_buffer_bool": F.when(city, True), "env_ohare_noise_contour_data_year": since,
-            "env_airport_noise_dnl": F.lit(52.5), "env_airport_noise_data_year": F.when(F.col("year") <= "2020", F.col("year")).otherwise("omp"),
-        },
-        "school": {
-            **{f"school_{k}_district_{p}": F.when(area % 4 != 0, text) for k in ("elementary", "secondary", "unified") for p in ("geoid", "name")},
-            "school_school_year": since, "school_data_year": F.col("year"),
-        },
-        "tax": {
-            **{f"tax_{n}_{p}": F.when(area % 7 != 0, F.array(text)) for n in AGENCY_TYPES.values() for p in ("num", "name")},
-            "tax_data_year": F.when(area % 7 != 0, F.col("year")),
-        },
-        "access": {
-            "access_cmap_walk_id": text, "access_cmap_walk_nta_score": area * 0.5, "access_cmap_walk_total_score": area * 2.0,
-            "access_cmap_walk_data_year": since,
-        },
-        "other": {"misc_subdivision_id": text, "misc_subdivision_data_year": since},
-    }
-
-    def build(columns):
-        return t.w_spot.select("pin10", "year", *[c.alias(n) for n, c in columns.items()])
-
-    wide = {n: c for columns in layers.values() for n, c in columns.items()}
-    fallback = F.when(area % 6 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("VILLAGE "), text)))
-    wide["combined_municipality_name"] = F.coalesce(wide["tax_municipality_name"], fallback)
-    out = {f"location.{n}": (lambda columns=columns: build(columns)) for n, columns in layers.items()}
-    out["location.census_2020"] = lambda: build(layers["census"])
-    out["location.vw_pin10_location"] = lambda: build(wide)
-    out["location.vw_pin10_location_fill"] = lambda: build(wide)
-    return out
-
-
 def sources(t: Tables) -> dict:
     from plotwise.plans.locations import GEOGRAPHIES
     from plotwise.plans.quality import COMMERCIAL_NAMES, COMMERCIAL_PLAIN
