@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from plotwise.catalog.model_sql import MODEL_SQL as PLACED_SQL
 from plotwise.catalog.registry import QUERIES, query
 from plotwise.catalog.standins import TODAY, sources, warehouse
 from plotwise.plans.build import Build
@@ -33,7 +34,7 @@ def register() -> None:
     for model in sorted(load_models(), key=lambda m: m.split(".", 1)[1].startswith("vw_")):
         name = name_of(model)
         if name not in QUERIES:
-            query(name, MODEL_SQL.get(model))(lambda t, model=model: build_of(t).ref(model))
+            query(name, MODEL_SQL.get(model, PLACED_SQL.get(model)))(lambda t, model=model: build_of(t).ref(model))
 
 
 MODEL_SQL: dict[str, str] = {
