@@ -109,3 +109,25 @@ _radii = [0.0, *STEPS.values()]
 for _step, _low, _high in zip(STEPS, _radii, _radii[1:]):
     MODEL_SQL[f"proximity.dist_pin_to_pin_{_step}"] = _THREE.format(wide=_WIDE, most=_high**2, least=_low**2 or -1)
 MODEL_SQL["proximity.dist_pin_to_pin"] = _THREE.format(wide=_WIDE, most=_radii[-1] ** 2, least=-1)
+
+# ---- addresses ---------------------------------------------------------------------------------------------------
+
+_SQUEEZED = "NULLIF(trim(regexp_replace(concat_ws(' ', {}), '\\s+', ' ', 'g')), '')"
+_PRIVATE = {
+    "owner_address_name": "NULLIF(concat_ws(' ', o.own1, o.own2), '')",
+    "owner_address_full": "COALESCE(NULLIF(o.addr1, ''), NULLIF(o.addr2, ''), NULLIF(concat_ws(' ', CAST(o.adrno AS VARCHAR), o.adrdir, o.adrstr, o.adrsuf, o.unitdesc, o.unitno), ''))",
+    "owner_address_city_name": "o.cityname", "owner_address_state": "o.statecode", "owner_address_zipcode_1": "NULLIF(o.zip1, '00000')", "owner_address_zipcode_2": "NULLIF(o.zip2, '0000')",
+    "mail_address_name": _SQUEEZED.format("m.mail1, m.mail2"), "mail_address_full": _SQUEEZED.format("m.maddr1, m.maddr2"), "mail_address_city_name": "m.mcityname",
+    "mail_address_state": "m.mstatecode", "mail_address_zipcode_1": "NULLIF(m.mzip1, '00000')", "mail_address_zipcode_2": "NULLIF(m.mzip2, '0000')",
+}
+_SITE = {
+    "prefix": "adrpre", "street_dir": "adrdir", "street_name": "adrstr", "suffix_1": "adrsuf", "suffix_2": "adrsuf2", "unit_prefix": "unitdesc", "unit_number": "unitno", "city_name": "cityname", "state": "statecode",
+}
+_NUMBER = "CASE WHEN l.adrno != 0 THEN l.adrno END"
+MODEL_SQL["default.vw_pin_address"] = f"""
+SELECT p.parid AS pin, substr(p.parid, 1, 10) AS pin10, p.taxyr AS year, {", ".join(f"l.{c} AS prop_address_{n}" for n, c in _SITE.items())}, {_NUMBER} AS prop_address_street_number,
+ NULLIF(concat_ws(' ', l.adrpre, CAST({_NUMBER} AS VARCHAR), l.adrdir, l.adrstr, l.adrsuf, l.unitdesc, l.unitno), '') AS prop_address_full, NULLIF(l.zip1, '00000') AS prop_address_zipcode_1, NULLIF(l.zip2, '0000') AS prop_address_zipcode_2,
+ {", ".join(f"CASE WHEN h.parid IS NULL THEN {e} END AS {c}" for c, e in _PRIVATE.items())}
+FROM w_pardat p LEFT JOIN w_legdat l ON p.parid = l.parid AND p.taxyr = l.taxyr LEFT JOIN w_owndat o ON p.parid = o.parid AND p.taxyr = o.taxyr
+LEFT JOIN (SELECT * FROM w_maildat QUALIFY mailseq = MAX(mailseq) OVER (PARTITION BY parid, taxyr)) m ON p.parid = m.parid AND p.taxyr = m.taxyr
+LEFT JOIN (SELECT DISTINCT parid FROM w_parcel WHERE k % 37 = 0) h ON p.parid = h.parid WHERE p.deactivat IS NULL AND p.class != '999' AND length(p.parid) = 14"""
