@@ -117,3 +117,19 @@ def test_half_of_all_points_in_one_place(spark):
     b.sums["n"] = F.lit(1).cast("long")
     left = packed.candidates(a, b, packed.add_within(50.0, ["n"]), ["pin", "x", "y"], "x", "y", {"other": "other"}, {"_sum_n": F.lit(0).cast("long")})
     assert left.where("_met").count() < 4000 * 4000 / 10
+
+
+def test_crowded_long_segments_leave_few_leaves(spark, small_leaves):
+    """Boxes of long rows overlap in a crowd: a point on one of them must not bound by their far corners."""
+    rng = random.Random(5)
+    lines = [(rng.uniform(0, 100), rng.uniform(0, 100)) for _ in range(2000)]
+    segments = spark.createDataFrame([(i, x, y, x + 40.0, y + 40.0) for i, (x, y) in enumerate(lines)], "road long, x1 double, y1 double, x2 double, y2 double")
+    spots = points(spark, scattered(200, 6, 140.0)).select("x", "y").withColumns(packed.point_box("x", "y"))
+    near, far = packed.pack(spots, segments.withColumns(packed.segment_box()), [])
+    far = packed.with_spot(far, F.col("x1"), F.col("y1"))
+    opened = packed.descend(near, far, packed.keep_nearest).agg(F.sum(F.size("_open"))).first()[0]
+    corners = lambda s: s.withColumn("_open", packed._kept(f"array_min(transform(_open, c -> {packed.SPAN2}))"))
+    before = packed.descend(near, far, corners).agg(F.sum(F.size("_open"))).first()[0]
+    assert opened < 0.7 * before
+    got = {(r.x, r.y): r.dist for r in spatial.nearest(spots.select("x", "y"), segments, ["road"]).collect()}
+    assert all(math.isclose(d, math.sqrt(min(segment_distance2(x, y, (a, b, a + 40, b + 40)) for a, b in lines)), rel_tol=1e-9, abs_tol=1e-9) for (x, y), d in got.items())
