@@ -127,9 +127,8 @@ def test_crowded_long_segments_leave_few_leaves(spark, small_leaves):
     spots = points(spark, scattered(200, 6, 140.0)).select("x", "y").withColumns(packed.point_box("x", "y"))
     near, far = packed.pack(spots, segments.withColumns(packed.segment_box()), [])
     far = packed.with_spot(far, F.col("x1"), F.col("y1"))
-    opened = packed.descend(near, far, packed.keep_nearest).agg(F.sum(F.size("_open"))).first()[0]
-    corners = lambda s: s.withColumn("_open", packed._kept(f"array_min(transform(_open, c -> {packed.SPAN2}))"))
-    before = packed.descend(near, far, corners).agg(F.sum(F.size("_open"))).first()[0]
+    opened = packed.descend(near, far, packed.keep_nearest_spot).agg(F.sum(F.size("_open"))).first()[0]
+    before = packed.descend(near, far, packed.keep_nearest).agg(F.sum(F.size("_open"))).first()[0]
     assert opened < 0.7 * before
     got = {(r.x, r.y): r.dist for r in spatial.nearest(spots.select("x", "y"), segments, ["road"]).collect()}
     assert all(math.isclose(d, math.sqrt(min(segment_distance2(x, y, (a, b, a + 40, b + 40)) for a, b in lines)), rel_tol=1e-9, abs_tol=1e-9) for (x, y), d in got.items())
