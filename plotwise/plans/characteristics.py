@@ -95,8 +95,9 @@ def condo_cards(w: Warehouse) -> DataFrame:
     )
     whole = {f"char_{c}": F.round(c, 0).cast("int") for c in ("building_sf", "unit_sf")}
     whole |= {f"char_{c}": F.col(c).cast("int") for c in ("bedrooms", "half_baths", "full_baths")}
+    # a group for each building and year, which Spark takes for few; so with the units below
     rows = with_group_values(
-        rows.withColumn("pin10", F.substring("parid", 1, 10)), ["pin10", "taxyr"],
+        rows.withColumn("pin10", F.substring("parid", 1, 10)).hint("merge"), ["pin10", "taxyr"],
         [F.max(~F.col("class").isin(*CONDO_CLASSES)).alias("bldg_is_mixed_use")],
     )
     return rows.where(F.col("class").isin(*CONDO_CLASSES)).select(
@@ -113,7 +114,7 @@ def condo_cards(w: Warehouse) -> DataFrame:
 def vw_pin_condo_char(w: Warehouse) -> DataFrame:
     units = condo_cards(w)
     # The condition of a unit's latest year holds for all its years; notes are filled from the next known year.
-    units = first_in_group(units.withColumn("_late", -F.col("year").cast("int")), ["pin"], ["_late"], {"cdu": "_cdu"})
+    units = first_in_group(units.withColumn("_late", -F.col("year").cast("int")).hint("merge"), ["pin"], ["_late"], {"cdu": "_cdu"})
     units = fill_backward(units, ["pin"], ["year"], {"note": "_note"}).withColumns({"cdu": F.col("_cdu"), "note": F.col("_note")})
     units = units.drop("_late", "_cdu", "_note")
     by_number = ((F.substring("unitno", 1, 1) == "P") & (F.substring("unitno", 1, 2) != "PH")) | (F.substring("unitno", 1, 3) == "GAR")
@@ -133,7 +134,7 @@ def vw_pin_condo_char(w: Warehouse) -> DataFrame:
         }
     ).withColumnRenamed("num_lines", "pin_num_lline")
     units = with_group_values(
-        units, ["pin10", "year"],
+        units.hint("merge"), ["pin10", "year"],
         [F.count(F.lit(1)).alias("char_building_pins"), F.sum(F.col("is_parking_space").cast("long")).alias("char_building_non_units")],
     )
     units = attach(units, w.ref("default.vw_pin_land"), ["pin", "year"], {"num_landlines": "pin_num_landlines", "sf": "char_land_sf"})

@@ -258,7 +258,8 @@ def res_report_summary_values_input(w: Warehouse) -> DataFrame:
     condos = w.ref("default.vw_pin_condo_char").where("NOT is_parking_space AND NOT is_common_area").select(
         "pin", "year", F.col("char_yrblt").cast("int").alias("yrblt"), F.col("char_building_sf").cast("long").alias("total_bldg_sf")
     )
-    rows = values.join(homes.unionByName(condos), ["pin", "year"])
+    # a row for each parcel and year, which Spark takes for few
+    rows = values.join(homes.unionByName(condos).hint("merge"), ["pin", "year"])
     names = {"property_group": "property_group", "class": "class", "triad_name": "triad", "township_code": "township_code", "nbhd": "_nbhd"}
     rows = attach(rows, w.ref("reporting.vw_pin_township_class"), ["pin", "year"], names)
     rows = attach(rows, w.ref("default.vw_pin_land"), ["pin", "year"], {"sf": "total_land_sf"})

@@ -3,8 +3,12 @@
 from pyspark.sql import functions as F
 
 from plotwise import session
-from plotwise.operators import packed
+from plotwise.catalog.registry import Tables
+from plotwise.catalog.standins import warehouse
+from plotwise.functions import geometry as geo
+from plotwise.operators import packed, spatial
 from plotwise.plans.build import Build
+from plotwise.plans.characteristics import condo_cards
 from plotwise.plans.warehouse import MODELS, Warehouse
 from plotwise.session import shared_path, sized, stored
 
@@ -42,3 +46,21 @@ def test_packed_rows_of_many(spark, monkeypatch):
     points = spark.range(200).select((F.col("id") * 37 % 101).cast("double").alias("x"), (F.col("id") * 53 % 103).cast("double").alias("y")).withColumns(packed.point_box("x", "y"))
     near, far = packed.pack(points, points.select(F.col("x").alias("bx"), F.col("y").alias("by"), "_x0", "_x1", "_y0", "_y1").limit(20), [])
     assert near.many and not far.many and "ResolvedHint" in near.whole()._jdf.queryExecution().analyzed().toString()
+
+
+def test_groups_of_joined_rows_are_merged(spark, root):
+    cards = condo_cards(warehouse(Tables(spark, root)))
+    assert not [line for line in plan(cards).splitlines() if "BroadcastHashJoin" in line and "pin10" in line]
+
+
+def test_areas_meet_places_by_numbers(spark, monkeypatch):
+    places = stored(spark.range(20).select((F.col("id") * 10.0 + 5).alias("x"), F.lit(5.0).alias("y")), "places")
+    box = geo.rectangle(F.col("id") * 10.0, F.lit(0.0), F.col("id") * 10.0 + 10, F.lit(10.0))
+    areas = stored(spark.range(1000).select(F.col("id").alias("area"), box.alias("rings")), "areas")
+    few = spatial.points_in_polygons(places, areas, ["area"], 100.0, "inner")
+    assert [line for line in plan(few).splitlines() if "BroadcastHashJoin" in line and "_cx" in line and "BuildRight" in line]
+    assert not [line for line in plan(few).splitlines() if "BroadcastHashJoin" in line and "_cx" not in line]
+    monkeypatch.setattr(spatial, "FEW_EDGES", 10)
+    many = spatial.points_in_polygons(places, areas, ["area"], 100.0, "inner")
+    assert not [line for line in plan(many).splitlines() if "BroadcastHashJoin" in line and "_cx" in line]
+    assert sorted(r.area for r in few.collect()) == sorted(r.area for r in many.collect()) == list(range(20))
