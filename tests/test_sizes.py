@@ -64,3 +64,11 @@ def test_areas_meet_places_by_numbers(spark, monkeypatch):
     many = spatial.points_in_polygons(places, areas, ["area"], 100.0, "inner")
     assert not [line for line in plan(many).splitlines() if "BroadcastHashJoin" in line and "_cx" in line]
     assert sorted(r.area for r in few.collect()) == sorted(r.area for r in many.collect()) == list(range(20))
+
+
+def test_lists_are_sent_once_for_each_leaf(spark):
+    points = spark.range(200).select((F.col("id") * 37 % 101).cast("double").alias("x"), (F.col("id") * 53 % 103).cast("double").alias("y")).withColumns(packed.point_box("x", "y"))
+    near, far = packed.pack(points, points.select(F.col("x").alias("bx"), F.col("y").alias("by"), "_x0", "_x1", "_y0", "_y1"), [])
+    met = packed.candidates(near, far, packed.keep_within(5.0), ["x", "y"], "x", "y", {"bx": "bx"})
+    sent = [line for line in plan(met).splitlines() if "REPARTITION_BY_NUM" in line]
+    assert sent and all("hashpartitioning(_code" in line for line in sent)
