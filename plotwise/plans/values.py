@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotwise.functions.logic import known_true, pre_certified, pre_mailed
 from plotwise.functions.text import alnum_only
-from plotwise.operators.grouped import with_group_values
 from plotwise.operators.ordered import lag_values
 from plotwise.operators.reshape import wide_to_long
 from plotwise.plans.warehouse import PIN_YEAR, Warehouse, attach, model
@@ -128,14 +127,14 @@ def vw_pin_land(w: Warehouse) -> DataFrame:
     lines = w.active("land").join(w.active("pardat").select(*keys), keys)
     prorated = F.when(F.col("taxyr") < "2024", F.col("influ").isNotNull()).otherwise(F.col("allocpct").isNotNull())
     split = known_true(F.col("infl1") == "35")
+    # Lines of a parcel-year are few by nature: a window on the join's keys, so that lines are sent once.
+    group = Window.partitionBy(*keys)
+    values = {
+        "num_landlines": F.count(F.lit(1)), "_sum": F.sum("sf"), "_top": F.min_by(F.struct("sf"), "lline"), "_prorated": F.count_if(prorated),
+        "_max": F.max("sf"), "_min": F.min("sf"), "_line": F.min("lline"),
+    }
     # A parcel-year gives one row for each of its top lines; there is normally one.
-    grouped = with_group_values(
-        lines, keys,
-        [
-            F.count(F.lit(1)).alias("num_landlines"), F.sum("sf").alias("_sum"), F.min_by(F.struct("sf"), "lline").alias("_top"),
-            F.count_if(prorated).alias("_prorated"), F.max("sf").alias("_max"), F.min("sf").alias("_min"), F.min("lline").alias("_line"),
-        ],
-    ).where(F.col("lline") == F.col("_line"))
+    grouped = lines.withColumns({n: c.over(group) for n, c in values.items()}).where(F.col("lline") == F.col("_line"))
     equal = (F.col("_prorated") > 1) & (F.col("_max") == F.col("_min"))
     return grouped.select(
         F.col("parid").alias("pin"), F.col("taxyr").alias("year"), "num_landlines",
