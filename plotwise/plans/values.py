@@ -10,6 +10,7 @@ from plotwise.functions.text import alnum_only
 from plotwise.operators.ordered import lag_values
 from plotwise.operators.reshape import wide_to_long
 from plotwise.plans.warehouse import PIN_YEAR, Warehouse, attach, model
+from plotwise.session import spread
 
 # Printed names and numbers of the stages, latest first.
 STAGES = {
@@ -33,8 +34,11 @@ def assessments(w: Warehouse) -> DataFrame:
 
 def named_stages(w: Warehouse) -> DataFrame:
     """The set of finished stages of each parcel-year."""
-    known = F.when(F.col("procname").isin(*w.settings.stages), F.col("procname"))
-    return assessments(w).groupBy("parid", "taxyr").agg(F.collect_set(known).alias("stages"))
+    # Marks rather than a collected set: plain values combine before they are sent and need no objects.
+    names = {f"_{i}": stage for i, stage in enumerate(w.settings.stages)}
+    marked = assessments(w).groupBy("parid", "taxyr").agg(*[F.max(F.col("procname") == stage).alias(n) for n, stage in names.items()])
+    known = F.array_compact(F.array(*[F.when(F.col(n), stage) for n, stage in names.items()]))
+    return marked.select("parid", "taxyr", known.alias("stages"))
 
 
 def stage_of(w: Warehouse) -> Column:
@@ -50,10 +54,12 @@ def stage_of(w: Warehouse) -> Column:
 
 def stage_values(w: Warehouse) -> DataFrame:
     """Values of all stages side by side, with the latest stage, for active parcels."""
-    staged = assessments(w).join(named_stages(w), ["parid", "taxyr"], "left").withColumn("_stage", stage_of(w))
-    this_year = F.date_format(w.date(), "yyyy")
-    open_now = (F.col("_stage") != "pre_mailed") | (F.col("taxyr") == this_year)
-    rows = staged.where(F.col("_stage").isNotNull() & open_now)
+    # One pass: rows are summed up by the stage that their own columns name, open ones apart, and the group's finished
+    # stages then tell which stage its open rows belong to. A task holds so many rows, however short their files.
+    settings, proc = w.settings, F.col("procname")
+    named = F.when(proc == settings.mailed, "mailed").when(proc == settings.certified, "certified").when(proc == settings.board, "board")
+    kind = F.coalesce(named, F.when(proc.isNull() & (F.col("cur") == "Y"), "open"))
+    rows = spread(assessments(w).withColumn("_kind", kind).where("_kind IS NOT NULL"), w.src("asmt_all").count(), "parid", "taxyr")
     plain = F.col("taxyr") >= PLAIN_VALUES_FROM
     measures: dict[str, Column] = {"class": alnum_only("class")}
     for part in ("bldg", "land", "tot"):
@@ -63,11 +69,22 @@ def stage_values(w: Warehouse) -> DataFrame:
     for part in ("bldg", "land", "tot"):
         measures[f"{part}_mv"] = F.when(plain, F.col(f"valapr{PARTS[part]}"))
     # ``max`` gives the one value of a stage, and the same one on every run if a stage has several.
+    kinds = ("open", "mailed", "certified", "board")
+    grouped = rows.groupBy(F.col("parid").alias("pin"), F.col("taxyr").alias("year")).agg(
+        *[F.count_if(F.col("_kind") == k).alias(f"_n_{k}") for k in kinds],
+        *[F.max(F.when(F.col("_kind") == k, value)).alias(f"{k}_{name}") for k in kinds for name, value in measures.items()],
+    )
+    finished = sum((F.col(f"_n_{k}") for k in kinds[1:]), F.lit(0))
+    this_year = F.date_format(w.date(), "yyyy")
+    opened = {
+        "pre_mailed": (F.col("_n_open") > 0) & (finished == 0) & (F.col("year") == this_year),
+        "pre_certified": (F.col("_n_open") > 0) & (finished > 0) & (F.col("_n_certified") == 0),
+    }
     wide = [
-        F.max(F.when(F.col("_stage") == stage, value)).alias(f"{stage}_{name}")
-        for stage in reversed(STAGES) for name, value in measures.items()
+        (F.when(opened[stage], F.col(f"open_{name}")) if stage in opened else F.col(f"{stage}_{name}")).alias(f"{stage}_{name}")
+        for stage in reversed(STAGES) for name in measures
     ]
-    values = rows.groupBy(F.col("parid").alias("pin"), F.col("taxyr").alias("year")).agg(*wide)
+    values = grouped.where((finished > 0) | opened["pre_mailed"]).select("pin", "year", *wide)
     latest = F.coalesce(*[F.when(F.col(f"{s}_tot").isNotNull(), F.lit(s)) for s in STAGES])
     name, number = F.lit(None).cast("string"), F.lit(None).cast("double")
     for stage, (label, order) in reversed(STAGES.items()):
@@ -115,6 +132,8 @@ def vw_pin_history(w: Warehouse) -> DataFrame:
     par = w.active("pardat").select(
         "parid", "taxyr", alnum_only("class").alias("class"), F.regexp_replace("nbhd", "[^0-9]", "").alias("nbhd")
     )
+    # wide rows: dealt by their number for both joins, not by their length in a compressed shuffle
+    rows = spread(rows, w.src("asmt_all").count(), "pin", "year")
     out = attach(rows, par, PIN_YEAR, ["class", "nbhd"], "inner")
     out = attach(out, w.active("legdat"), PIN_YEAR, {"user1": "township_code"})
     return attach(out, w.src("spatial.township"), ["township_code"], ["township_name"])
