@@ -128,12 +128,13 @@ def vw_pin_history(w: Warehouse) -> DataFrame:
     kept = [f"{s}_{v}" for s in stages for v in ("class", "bldg", "land", "tot", "hie")]
     carried = [f"{s}_{v}" for s in stages[1:] for v in ("bldg", "land", "tot", "hie")] + ["change_reason"]
     lags = {f"{word}yr_pri_{c}": (c, n) for word, n in (("one", 1), ("two", 2)) for c in carried}
-    rows = lag_values(w.ref("default.vw_pin_value").select("pin", "year", *kept, "change_reason"), ["pin"], ["year"], lags)
+    # wide rows: dealt by their number for the lags and for both joins, not by their length in a compressed shuffle
+    number = w.src("asmt_all").count()
+    values = spread(w.ref("default.vw_pin_value").select("pin", "year", *kept, "change_reason"), number, "pin")
+    rows = spread(lag_values(values, ["pin"], ["year"], lags), number, "pin", "year")
     par = w.active("pardat").select(
         "parid", "taxyr", alnum_only("class").alias("class"), F.regexp_replace("nbhd", "[^0-9]", "").alias("nbhd")
     )
-    # wide rows: dealt by their number for both joins, not by their length in a compressed shuffle
-    rows = spread(rows, w.src("asmt_all").count(), "pin", "year")
     out = attach(rows, par, PIN_YEAR, ["class", "nbhd"], "inner")
     out = attach(out, w.active("legdat"), PIN_YEAR, {"user1": "township_code"})
     return attach(out, w.src("spatial.township"), ["township_code"], ["township_name"])

@@ -47,3 +47,19 @@ def test_one_pass_in_tasks_of_bounded_rows(spark, monkeypatch):
     assert "hashpartitioning(parid" in plan and ", 10), REPARTITION_BY_NUM" in plan
     marks = named_stages(w)._jdf.queryExecution().executedPlan().toString()
     assert "ObjectHashAggregate" not in marks and "HashAggregate" in marks
+
+
+def test_histories_in_tasks_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    w = assessed(spark, [(f"p{i % 50}", str(2023 + i // 50), "202", "ASSRVALUE", "N", i) for i in range(95)])
+    par = spark.sql("SELECT 'p' || id % 50 AS parid, CAST(2023 + id DIV 50 AS STRING) AS taxyr, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat, '202' AS class, '10001' AS nbhd FROM range(95)")
+    legal = spark.sql("SELECT 'p' || id % 50 AS parid, CAST(2023 + id DIV 50 AS STRING) AS taxyr, 'Y' AS cur, CAST(NULL AS STRING) AS deactivat, '10' AS user1 FROM range(95)")
+    towns = spark.sql("SELECT '10' AS township_code, 'TOWN' AS township_name")
+    reasons = spark.createDataFrame([], "parid string, taxyr string, reascd string, procname string, cur string")
+    names = spark.createDataFrame([], "reascd string, description string")
+    w = Warehouse(spark, {**w.sources, "pardat": par, "legdat": legal, "spatial.township": towns, "aprval": reasons, "aprval_reascd": names}, today="2025-01-01")
+    rows = w.ref("default.vw_pin_history")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line and ", 10)" in line]) == 3
+    got = {(r.pin, r.year): (r.mailed_tot, r.oneyr_pri_mailed_tot, r.township_name) for r in rows.collect()}
+    assert len(got) == 95 and got["p3", "2023"] == (3, None, "TOWN") and got["p3", "2024"] == (53, 3, "TOWN")
